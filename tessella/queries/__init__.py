@@ -1,4 +1,6 @@
 """Core queries by name, each over whole tables, and SQL for DuckDB where SQL can state the result."""
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from tessella.queries import problems
+
+QUERIES: dict = {**problems.QUERIES}
+SQL: dict[str, str] = {**problems.SQL}
