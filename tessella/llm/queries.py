@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import tokens
+from tessella.llm import tokens, truncation
 from tessella.tables import table
 
 
@@ -17,5 +17,17 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_ids(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p2_token_budget": p2_token_budget, "p6_ids": p6_ids}
+def _cut(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_records(truncation.summary_records(table(spark, d, "chunk_summaries"), table(spark, d, "draft_sections")))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _cut(spark, d).filter("is_cut").select("table_name", "record_id")
+
+
+def p3_cut_rates(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_rates(_cut(spark, d))
+
+
+QUERIES = {"p2_token_budget": p2_token_budget, "p3_found": p3_found, "p3_cut_rates": p3_cut_rates, "p6_ids": p6_ids}
 SQL: dict[str, str] = {}
