@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import tokens, truncation
+from tessella.llm import splitting, tokens, truncation
 from tessella.tables import table
 
 
@@ -29,5 +29,20 @@ def p3_cut_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.cut_rates(_cut(spark, d))
 
 
-QUERIES = {"p2_token_budget": p2_token_budget, "p3_found": p3_found, "p3_cut_rates": p3_cut_rates, "p6_ids": p6_ids}
-SQL: dict[str, str] = {}
+def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.split_oversized(table(spark, d, "artifacts"), table(spark, d, "size_limits"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_pieces(spark, d).filter("piece = 1").select("artifact_id")
+
+
+QUERIES = {"p2_token_budget": p2_token_budget, "p3_found": p3_found, "p3_cut_rates": p3_cut_rates, "p4_found": p4_found, "p4_pieces": p4_pieces, "p6_ids": p6_ids}
+SQL: dict[str, str] = {
+    "p4_found": """
+SELECT artifact_id FROM (
+  SELECT artifact_id, arg_max(length(content), struct_pack(d := delivered_at, n := coalesce(length(content), 0))) AS n,
+         arg_max(artifact_type, struct_pack(d := delivered_at, n := coalesce(length(content), 0))) AS artifact_type
+  FROM artifacts GROUP BY artifact_id) JOIN size_limits USING (artifact_type) WHERE n > max_chars
+""",
+}
