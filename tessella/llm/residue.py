@@ -25,6 +25,8 @@ WINDOW, FIELD_WINDOW = 10, 6
 RATIO = 0.4
 #: Share of a sentence or line under filler or notice windows, and share of a text in notice sentences, from which they count.
 COVER, PAGE = 0.6, 0.5
+#: Mean log likelihood ratio that a sentence or line of filler has as a whole.
+FILLER_RATIO = 1.0
 #: Stricter cover for what the first round teaches the second.
 TEACH = 0.75
 #: Characters that are scored at once.
@@ -188,6 +190,7 @@ class Scorer:
             sums = []
             for k in (0, 1):
                 sums.append(np.concatenate([[0], np.cumsum(_covered(self.tables[k][cells], WINDOW))]))
+            filler = np.concatenate([[0.0], np.cumsum(self.tables[0][cells], dtype=np.float64)])
             at_field = _covered(self.tables[2][cells], FIELD_WINDOW)
             segments = []
             for m in _SEGMENT.finditer(text):
@@ -196,7 +199,8 @@ class Scorer:
                     a += 1
                 e = min(b - GRAM + 1, len(cells))
                 if e > a:
-                    segments.append((a, b, float(sums[0][e] - sums[0][a]) / (e - a), float(sums[1][e] - sums[1][a]) / (e - a)))
+                    is_filler = filler[e] - filler[a] >= FILLER_RATIO * (e - a)
+                    segments.append((a, b, float(sums[0][e] - sums[0][a]) / (e - a) if is_filler else 0.0, float(sums[1][e] - sums[1][a]) / (e - a)))
             field = False
             if at_field.any():
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], at_field.astype(np.int8), [0]])))
