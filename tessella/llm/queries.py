@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import residue, splitting, tokens, truncation
+from tessella.llm import mixing, residue, splitting, tokens, truncation
 from tessella.tables import table
 
 
@@ -37,6 +37,15 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return p4_pieces(spark, d).filter("piece = 1").select("artifact_id")
 
 
+def p7_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(mixing.counted_documents(table(spark, d, "documents")), table(spark, d, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    counted, targets = mixing.counted_documents(table(spark, d, "documents")), table(spark, d, "mix_targets")
+    return mixing.reached_shares(mixing.mix(counted, targets), counted, targets)
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.residue(table(spark, d, "documents"), "doc_id", "text").filter("is_residue").select("doc_id").distinct()
 
@@ -45,7 +54,7 @@ def p8_clean_corpus(spark: SparkSession, d: str) -> DataFrame:
     return residue.without_residue(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p2_token_budget": p2_token_budget, "p3_found": p3_found, "p3_cut_rates": p3_cut_rates, "p4_found": p4_found, "p4_pieces": p4_pieces, "p6_ids": p6_ids, "p8_found": p8_found, "p8_clean_corpus": p8_clean_corpus}
+QUERIES = {"p2_token_budget": p2_token_budget, "p3_found": p3_found, "p3_cut_rates": p3_cut_rates, "p4_found": p4_found, "p4_pieces": p4_pieces, "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_clean_corpus": p8_clean_corpus}
 SQL: dict[str, str] = {
     "p4_found": """
 SELECT artifact_id FROM (
