@@ -23,28 +23,41 @@ def section_groups(summaries: DataFrame) -> DataFrame:
     )
 
 
-def _stems(text: Column) -> Column:
-    """Every run of whole words of a text, in lower case: what may be contained in it as such."""
-    words = F.split(text, " ")
-    return F.flatten(F.transform(F.sequence(F.lit(1), F.size(words)), lambda a: F.transform(F.sequence(a, F.size(words)), lambda b: F.array_join(F.slice(words, a, b - a + 1), " "))))
+def _grams(text: Column, size: int) -> Column:
+    """The different runs of `size` characters of a text."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda k: F.substring(text, k, F.lit(size))))
 
 
-def contains_match(targets: DataFrame, groups: DataFrame, limit: int = 10_000) -> DataFrame:
+def containing_pairs(outer: DataFrame, inner: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts of `outer` (column a) and `inner` (column b) where a contains b. Empty texts pair with nothing.
+
+    No pair is tried that shares nothing: b is looked for by its rarest run of three characters (of one or two, if it is
+    shorter) among the runs of a, an equi-join that is exact at any size, and then tested.
+    """
+    a, b = outer.select("a").filter("a <> ''").distinct(), inner.select("b").filter("b <> ''").distinct()
+    parts = []
+    for size in (1, 2, 3):
+        wide = a.filter(F.length("a") >= size).select("a", F.explode(_grams(F.col("a"), size)).alias("gram"))
+        own = b.filter(F.length("b") == size if size < 3 else F.length("b") >= 3).select("b", F.explode(_grams(F.col("b"), size)).alias("gram"))
+        if size == 3:
+            often = wide.groupBy("gram").agg(F.count("*").alias("n"))
+            own = own.join(often, "gram", "left").groupBy("b").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), F.col("gram"))).alias("gram"))
+        parts.append(wide.join(own, "gram").filter(F.contains(F.col("a"), F.col("b"))).select("a", "b"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def contains_match(targets: DataFrame, groups: DataFrame) -> DataFrame:
     """For each target the first group (by `ord`) whose name contains it or is contained in it, in any letter case.
 
-    `targets` has target, `groups` has section and ord. Headings are short and few next to the texts under them: the
-    smaller side is broadcast if it has at most `limit` rows, and pairs are tested against it in one pass. Beyond that
-    both sides are expanded to runs of whole words and joined on them, which finds containment of whole words only.
+    `targets` has target, `groups` has section and ord.
     """
-    t = targets.select("target", F.lower("target").alias("a")).filter("a <> ''").distinct()
-    g = groups.select("section", "ord", F.lower("section").alias("b")).filter("b <> ''")
-    if g.limit(limit + 1).count() <= limit:
-        pairs = t.join(F.broadcast(g), F.contains(F.col("a"), F.col("b")) | F.contains(F.col("b"), F.col("a")))
-    else:
-        up = t.withColumn("run", F.explode(_stems(F.col("a")))).join(g.withColumn("run", F.col("b")), "run")
-        down = t.withColumn("run", F.col("a")).join(g.withColumn("run", F.explode(_stems(F.col("b")))), "run")
-        pairs = up.unionByName(down)
-    return pairs.groupBy("target").agg(F.min_by("section", F.struct("ord", "section")).alias("section"))
+    t = targets.select("target", F.lower("target").alias("t")).distinct()
+    g = groups.select("section", "ord", F.lower("section").alias("g"))
+    t_names, g_names = t.select(F.col("t").alias("a")), g.select(F.col("g").alias("a"))
+    in_target = containing_pairs(t_names, g.select(F.col("g").alias("b"))).select(F.col("a").alias("t"), F.col("b").alias("g"))
+    in_group = containing_pairs(g_names, t.select(F.col("t").alias("b"))).select(F.col("b").alias("t"), F.col("a").alias("g"))
+    pairs = in_target.unionByName(in_group).distinct()
+    return t.join(pairs, "t").join(g, "g").groupBy("target").agg(F.min_by("section", F.struct("ord", "section")).alias("section"))
 
 
 def match_sections(targets: DataFrame, groups: DataFrame) -> DataFrame:

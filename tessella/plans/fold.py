@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def ordered_fold(df: DataFrame, keys: list[str], order: list[str], start: Callable[[], object], step: Callable[[object, dict], tuple[object, dict]], added: str) -> DataFrame:
@@ -17,10 +19,8 @@ def ordered_fold(df: DataFrame, keys: list[str], order: list[str], start: Callab
     the added values.
     """
     names = [x.strip().split(" ")[0].strip("`") for x in added.split(", ")]
-    schema = df.schema
-    for field in _schema(added):
-        schema = schema.add(field)
-    target = _arrow(schema)
+    schema = StructType([*df.schema.fields, *StructType.fromDDL(added).fields])
+    target = to_arrow_schema(schema)
     width = len(df.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -38,15 +38,3 @@ def ordered_fold(df: DataFrame, keys: list[str], order: list[str], start: Callab
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *names])
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
-
-
-def _schema(added: str):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(added)
-
-
-def _arrow(schema):
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(schema)

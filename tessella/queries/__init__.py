@@ -1,6 +1,6 @@
 """Core queries by name, each over whole tables, and SQL for DuckDB where SQL can state the result."""
 
-from tessella.queries import problems
+from tessella.queries import chunking, problems
 
-QUERIES: dict = {**problems.QUERIES}
-SQL: dict[str, str] = {**problems.SQL}
+QUERIES: dict = {**chunking.QUERIES, **problems.QUERIES}
+SQL: dict[str, str] = {**chunking.SQL, **problems.SQL}
