@@ -125,6 +125,6 @@ def verdict_counts(annotations: DataFrame, *by: str) -> DataFrame:
 
 def review_queue(summaries: DataFrame, annotations: DataFrame, threshold: float = 0.85) -> DataFrame:
     """What people should look at: summaries of low confidence, and annotations that reject or are of high risk."""
-    low = summaries.filter(F.coalesce("confidence", F.lit(0.0)) < threshold).select(F.lit("low_confidence_summary").alias("kind"), F.col("summary_id").alias("item_id"), F.format_string("confidence %.2f", F.coalesce("confidence", F.lit(0.0))).alias("reason"))
+    low = summaries.filter(F.coalesce("confidence", F.lit(0.0)) < threshold).select(F.lit("low_confidence_summary").alias("kind"), F.col("summary_id").alias("item_id"), F.format_string("confidence %.3f", F.coalesce("confidence", F.lit(0.0))).alias("reason"))
     risky = annotations.filter("verdict = 'reject' or risk_level = 'high'").select(F.lit("high_risk_annotation").alias("kind"), F.col("section_id").alias("item_id"), F.concat_ws(" ", "verdict", "risk_level").alias("reason"))
     return low.unionByName(risky, allowMissingColumns=True)
