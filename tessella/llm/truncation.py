@@ -34,8 +34,8 @@ SEEN = 4
 ENDS_AT_LIMIT, ENDS_ELSEWHERE = 0.98, 0.03
 #: Characters from the end of a text that its last words are read from: more than the largest group and a mark. The texts
 #: themselves are counted whole.
-TAIL = 240
-#: Bits of the bitmap, and the most entries that a task counts before it sends them on.
+TAIL = 200
+#: Bits of the bitmap, and the most different words that a task counts before it sends its counts on.
 BITS, MOST = 1 << 23, 400_000
 
 _UPPER = "A-ZÁÉÍÓÚÑÜÂÊÔÃÕÇÀÖÄ"
@@ -49,7 +49,7 @@ _DOTS = re.compile(r"\s*(?:\.{2,}|…)\s*$")
 _HYPHEN = re.compile(r"(?<=[^\W\d_])[-‐‑]\s*$")
 _CLOSED = re.compile(r"[.!?…][\"'»”’)\]*_]*\s*$|[»”)\]\"]\s*$")
 _ROW = re.compile(r"[-*•|]|\d+[.)]\s")
-_NUMBER_STOP = re.compile(r"\d\.\s*$")
+_OPEN = frozenset("abcdefghijklmnopqrstuvwxyzáéíóúñç0123456789%,;:|")
 
 
 class _Forms(dict):
@@ -73,32 +73,62 @@ class _Forms(dict):
 _FORMS = _Forms()
 
 
-class _Plain(dict):
-    """Forms as they are counted inside a group: numbers of any shape are one."""
+class _Hashes(dict):
+    """64-bit hashes of forms."""
 
-    def __missing__(self, form: str) -> str:
+    def __missing__(self, form: str) -> int:
         if len(self) > 200_000:
             self.clear()
-        self[form] = plain = "9" if form[0] == "9" else form
-        return plain
-
-
-_PLAIN = _Plain()
+        self[form] = h = xxhash.xxh64_intdigest(form)
+        return h
+
+
+_HASHES = _Hashes()
+#: Forms of numbers; inside a group they count as one.
+_NUMBERS = ("9", "99", "999", "9999", "9.9")
+_FACTOR, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+
+def group_hashes(tokens: list[str]) -> list[int]:
+    """Hashes of the groups of forms at the end of a list, of the sizes in ORDERS: only the last form keeps a number's shape."""
+    own = [_HASHES[t] for t in tokens]
+    plain = [_HASHES["9"] if t[0] == "9" else h for t, h in zip(tokens, own)]
+    out = []
+    for n in ORDERS:
+        if n <= len(own):
+            acc = n
+            for h in (*plain[len(own) - n : -1], own[-1]):
+                acc = ((acc ^ h) * _FACTOR) & _ALL
+                acc ^= acc >> 29
+            out.append(acc - (1 << 64) if acc >> 63 else acc)
+    return out
 
 
-def groups_before(tokens: list[str]) -> list[list[str]]:
-    """The groups of forms at the end of a list, of the sizes in ORDERS: only the last form keeps a number's shape."""
-    plain = [_PLAIN[t] for t in tokens[:-1]]
-    return [[*plain[len(plain) + 1 - n :], tokens[-1]] for n in ORDERS if n <= len(tokens)]
+def all_group_hashes(own: np.ndarray, n: int) -> np.ndarray:
+    """The hash of the group of n forms that ends at each place from n - 1 on, of the forms' own hashes."""
+    plain = own.copy()
+    plain[np.isin(own, np.array([_HASHES[x] for x in _NUMBERS], np.uint64))] = _HASHES["9"]
+    acc = np.full(max(0, len(own) - n + 1), n, np.uint64)
+    for k in range(n):
+        acc ^= (own if k == n - 1 else plain)[k : len(own) - n + 1 + k]
+        acc *= np.uint64(_FACTOR)
+        acc ^= acc >> np.uint64(29)
+    return acc.view(np.int64)
 
 
-def forms(text: str) -> list[str]:
-    """The tokens of a text, with names as `N`, in the forms that are counted."""
-    return list(map(_FORMS.__getitem__, _TOKEN.findall(_NAME.sub("N", text.replace("\r\n", "\n").replace("\r", "\n")))))
+def forms(text: str, names: list[str] | None = None) -> list[str]:
+    """The tokens of a text, with names as `N`, in the forms that are counted. `names`, if given, gets the names."""
+    if "\r" in text:
+        text = text.replace("\r\n", "\n").replace("\r", "\n")
+    if names is None:
+        text = _NAME.sub("N", text)
+    else:
+        text = _NAME.sub(lambda m: names.append(m.group()) or "N", text)
+    return list(map(_FORMS.__getitem__, _TOKEN.findall(text)))
 
 
-def _hash(kind: str, *parts: str) -> int:
-    return xxhash.xxh64_intdigest(kind + "\x1f".join(parts)) - (1 << 63)
+def _word_hash(word: str) -> int:
+    return xxhash.xxh64_intdigest("word " + word) - (1 << 63)
 
 
 def read_end(tail: str) -> tuple[str, str | None, list[str], str]:
@@ -107,16 +137,16 @@ def read_end(tail: str) -> tuple[str, str | None, list[str], str]:
     States: `mark` (a mark that only cuts leave), `dots`, `open`, `number` (a number and a full stop), `closed`.
     Places: `row` (of a list or table), `name` (the last word is part of one), `text`.
     """
-    state = "open"
-    if _MARK.search(tail) or _HYPHEN.search(tail):
+    state, tail = "open", tail.rstrip()
+    end, last = tail[-16:], tail[-1:]
+    if (last in "])>�" and _MARK.search(end)) or (last in "-‐‑" and _HYPHEN.search(end)):
         return "mark", None, [], "text"
-    if m := _DOTS.search(tail):
-        state, tail = "dots", tail[: m.start()]
-    elif _NUMBER_STOP.search(tail):
-        state, tail = "number", tail.rstrip()[:-1]
-    elif _CLOSED.search(tail):
+    if last in ".…" and (m := _DOTS.search(end)):
+        state, tail = "dots", tail[: len(tail) - len(end) + m.start()].rstrip()
+    elif last == "." and tail[-2:-1].isdigit():
+        state, tail = "number", tail[:-1]
+    elif last not in _OPEN and _CLOSED.search(end):
         return "closed", None, [], "text"
-    tail = tail.rstrip()
     tokens = forms(tail[tail.find(" ") + 1 :] if len(tail) >= TAIL - 8 else tail)[-ORDERS[-1] :]
     last = re.search(r"[^\W\d_]+$", tail)
     line = tail[tail.rfind("\n") + 1 :].lstrip() if "\n" in tail else ""
@@ -136,8 +166,8 @@ def ends(records: DataFrame) -> DataFrame:
             for tail in batch.column(5):
                 state, word, tokens, place = read_end(tail.as_py())
                 states.append(state)
-                words.append(None if word is None else _hash("w", word))
-                grams.append([_hash("g", *group) for group in groups_before(tokens)] if tokens else [])
+                words.append(None if word is None else _word_hash(word))
+                grams.append(group_hashes(tokens))
                 places.append(place)
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(states, pa.string()), pa.array(places, pa.string()), pa.array(words, pa.int64()), pa.array(grams, pa.list_(pa.int64()))], ["table_name", "record_id", "origin", "n_chars", "n_bytes", "state", "place", "word", "grams"])
 
@@ -161,65 +191,81 @@ def _statistics(records: DataFrame, asked: np.ndarray) -> DataFrame:
     shared = records.sparkSession.sparkContext.broadcast(np.packbits(asked))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(shared.value).tobytes()
-        groups = [Counter() for _ in ORDERS]
-        ended = [Counter() for _ in ORDERS]
-        words: Counter = Counter()
-
-        def send() -> pa.RecordBatch:
-            rows: dict[int, list[int]] = {}
-            for column, counters in ((0, groups), (1, ended)):
-                for counter in counters:
-                    for gram, n in counter.items():
-                        h = _hash("g", *gram)
-                        if wanted[h % BITS]:
-                            rows.setdefault(h, [0, 0, 0, 0])[column] += n
-                    counter.clear()
-            trie: Counter = Counter()
-            for word, n in words.items():
-                for size in range(1, len(word)):
-                    trie[word[:size]] += n
-            for column, counter in ((2, words), (3, trie)):
-                for word, n in counter.items():
-                    h = _hash("w", word)
-                    if wanted[h % BITS]:
-                        rows.setdefault(h, [0, 0, 0, 0])[column] += n
-            words.clear()
-            numbers = np.array(list(rows.values()), np.int64).reshape(-1, 4)
-            return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), *(pa.array(numbers[:, k]) for k in range(4))], ["h", "seen", "ended", "known", "longer"])
-
+        tally = _Tally(np.unpackbits(shared.value).view(bool))
         for batch in batches:
             flat: list[str] = []
             for value in batch.column(0):
-                text = value.as_py()
-                words.update(_WORD.findall(text.lower())[:-1])
-                tokens = forms(text)
-                if tokens and tokens[-1] != _END:
-                    tokens.pop()
+                tokens = tally.tokens(value.as_py())
                 flat.extend(tokens)
                 flat.extend((_END,) * ORDERS[-1])
                 if len(flat) > 100_000:
-                    _tally(flat, groups, ended)
+                    tally.add(flat)
                     flat = []
-                    if len(groups[-1]) > MOST or len(words) > MOST:
-                        yield send()
-            _tally(flat, groups, ended)
-        yield send()
+                    if tally.size() > MOST:
+                        yield tally.send()
+            tally.add(flat)
+        yield tally.send()
 
     texts = records.filter(F.col("text").isNotNull()).select("text")
     sums = texts.mapInArrow(count, "h long, seen long, ended long, known long, longer long")
     return sums.groupBy("h").agg(*(F.sum(c).alias(c) for c in ("seen", "ended", "known", "longer")))
 
 
-def _tally(flat: list[str], groups: list[Counter], ended: list[Counter]) -> None:
-    plain = list(map(_PLAIN.__getitem__, flat))
-    for n, counter in zip(ORDERS, groups):
-        counter.update(zip(*(plain[k:] for k in range(n - 1)), flat[n - 1 :]))
-    for at, token in enumerate(flat):
-        if token == _END and at and flat[at - 1] != _END:
-            for n, counter in zip(ORDERS, ended):
-                if n <= at:
-                    counter[(*plain[at - n : at - 1], flat[at - 1])] += 1
+class _Tally:
+    """Counts of one task: groups of forms that are asked for, by hash, and words."""
+
+    def __init__(self, wanted: np.ndarray):
+        self.wanted = wanted
+        self.words: Counter = Counter()
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def tokens(self, text: str) -> list[str]:
+        """The forms of a text without an open last one, the words of its names counted."""
+        names: list[str] = []
+        tokens = forms(text, names)
+        if tokens and tokens[-1] != _END and tokens.pop() == "N" and names:
+            names[-1] = names[-1].rpartition(" ")[0]
+        self.words.update(_WORD.findall(" ".join(names).lower()))
+        return tokens
+
+    def add(self, flat: list[str]) -> None:
+        """Counts a run of forms."""
+        self.words.update(flat)
+        own = np.fromiter(map(_HASHES.__getitem__, flat), np.uint64, len(flat))
+        before_end = np.append(own[1:] == np.uint64(_HASHES[_END]), False)
+        for n in ORDERS:
+            h = all_group_hashes(own, n)
+            asked = np.flatnonzero(self.wanted[h % BITS])
+            if len(asked):
+                hashes, where = np.unique(h[asked], return_inverse=True)
+                ended = np.bincount(where, before_end[n - 1 :][asked], len(hashes)).astype(np.int64)
+                self.found.append((hashes, np.bincount(where, minlength=len(hashes)), ended))
+
+    def size(self) -> int:
+        return max(len(self.words), sum(len(x[0]) for x in self.found) // 4)
+
+    def send(self) -> pa.RecordBatch:
+        """What was counted of hashes that are asked for; counts begin again."""
+        rows: dict[int, list[int]] = {}
+        for hashes, seen, ended in self.found:
+            for h, a, b in zip(hashes.tolist(), seen.tolist(), ended.tolist()):
+                row = rows.setdefault(h, [0, 0, 0, 0])
+                row[0] += a
+                row[1] += b
+        trie: Counter = Counter()
+        words = {w: n for w, n in self.words.items() if w.isalpha() and w != "N"}
+        for word, n in words.items():
+            for size in range(1, len(word)):
+                trie[word[:size]] += n
+        for column, counts in ((2, words), (3, trie)):
+            for word, n in counts.items():
+                h = _word_hash(word)
+                if self.wanted[h % BITS]:
+                    rows.setdefault(h, [0, 0, 0, 0])[column] += n
+        self.words.clear()
+        self.found.clear()
+        numbers = np.array(list(rows.values()), np.int64).reshape(-1, 4)
+        return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), *(pa.array(numbers[:, k]) for k in range(4))], ["h", "seen", "ended", "known", "longer"])
 
 
 def cut_records(records: DataFrame) -> DataFrame:
