@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions import measures
-from tessella.tables import cut_lineage
+from tessella.tables import cut_lineage, spread
 
 #: Identities among quantities of one territory and year: product of the amounts to these powers, times the constant, is 1.
 #: A density in inhabitants per km² is the population over the area in ha, times 100.
@@ -61,7 +61,7 @@ def candidates(entries: DataFrame, indicators: DataFrame) -> DataFrame:
             )
 
     texts = entries.select("entry_id", "measure_key", F.nanvl("value", F.lit(None).cast("double")).alias("value"), "label", "unit", "context")
-    return texts.mapInArrow(read, _CANDIDATES).dropDuplicates(["entry_id"])
+    return spread(texts).mapInArrow(read, _CANDIDATES).dropDuplicates(["entry_id"])
 
 
 def statements(dimension: str, value: float | None, label: str | None, unit: str | None, context: str | None) -> list[tuple[float, float]]:

@@ -22,6 +22,15 @@ def clean_id(col):
     return F.nullif(F.lower(F.btrim(col, F.lit(ID_SPACE))), F.lit(""))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` in as many partitions as the cluster has cores, if a small input came in fewer; for work in Python on texts.
+
+    Large inputs have more partitions than that and are left as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """`df` written to the reliable checkpoint folder and read again.
 
