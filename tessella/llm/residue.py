@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.tables import spread
+
 #: Characters in a gram, and cells of the table that grams are hashed to: 2 MB, however large the corpus.
 GRAM, CELLS = 4, 1 << 18
 #: Grams in a window for filler and notices, and for fields.
@@ -30,7 +32,7 @@ FILLER_RATIO = 1.0
 #: Stricter cover for what the first round teaches the second.
 TEACH = 0.75
 #: Characters that are scored at once.
-BLOCK = 1_000_000
+BLOCK = 300_000
 
 FILLER_PHRASES = """
 Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua.
@@ -87,8 +89,8 @@ FIELD = re.compile(
     rf"|[<«“\[(]\s*{_TO_FILL}\b[^<>«»“”\[\]()]{{0,50}}[>»”\])]"
     r"|\bX{2,}\s+(?:de\s+)?X{3,}\s+(?:de\s+)?(?:20)?X{2,}\b|\bX{2,}/X{2,}/(?:20)?X{2,}\b"
 )
-_SEGMENT = re.compile(r"[^\n.!?…]+(?:[.!?…]+(?!\s)[^\n.!?…]*)*[.!?…]*")
-_HEADING = re.compile(r"[.!?…:;]\s*$")
+_SEGMENT = re.compile(r"[^\s.!?…][^\n.!?…]*(?:[.!?…]+(?!\s)[^\n.!?…]*)*[.!?…]*")
+_STOPS = frozenset(".!?…:;")
 
 
 def _codes(text: str) -> np.ndarray:
@@ -162,61 +164,71 @@ def phrase_counts() -> np.ndarray:
 def _covered(scores: np.ndarray, window: int) -> np.ndarray:
     """Which positions lie in a window whose mean score reaches RATIO."""
     n = len(scores)
+    window = min(window, n)
     if n == 0:
         return np.zeros(0, bool)
-    window = min(window, n)
     total = np.concatenate([[0.0], np.cumsum(scores, dtype=np.float64)])
-    good = (total[window:] - total[:-window]) >= RATIO * window
-    marks = np.zeros(n + 1, np.int32)
-    at = np.flatnonzero(good)
-    np.add.at(marks, at, 1)
-    np.add.at(marks, at + window, -1)
+    at = np.flatnonzero((total[window:] - total[:-window]) >= RATIO * window)
+    marks = np.bincount(at, minlength=n + 1)[: n + 1] - np.bincount(at + window, minlength=n + 1)[: n + 1]
     return np.cumsum(marks[:-1]) > 0
 
 
+def _sums(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(x, dtype=np.float64)])
+
+
 class Scorer:
-    """Scores texts by the ratio tables of filler, notices and fields."""
+    """Scores texts by the ratio tables of filler, notices and fields, many texts in one pass over arrays."""
 
     def __init__(self, tables: np.ndarray):
         self.tables = tables
 
     def block(self, texts: list[str]) -> Iterator[tuple[list[tuple[int, int, float, float]], bool]]:
-        """For each text its sentences and lines as (begin, end, filler cover, notice cover), and whether it has a field."""
-        for text in texts:
-            cells = _cells(_codes(text))
-            if not len(cells):
-                yield [], False
-                continue
-            sums = []
-            for k in (0, 1):
-                sums.append(np.concatenate([[0], np.cumsum(_covered(self.tables[k][cells], WINDOW))]))
-            filler = np.concatenate([[0.0], np.cumsum(self.tables[0][cells], dtype=np.float64)])
-            at_field = _covered(self.tables[2][cells], FIELD_WINDOW)
+        """For each text its sentences and lines as (begin, end, filler cover, notice cover), and whether it has a field.
+
+        Texts are laid end to end; grams that reach over the end of a text never lie in a covered window.
+        """
+        whole = "\0".join(texts) + "\0" * GRAM
+        cells = _cells(_codes(whole))
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        scores = [table[cells] for table in self.tables]
+        over = (starts[1:, None] - 1 - np.arange(GRAM)).ravel()
+        over = over[(over >= 0) & (over < len(cells))]
+        filler = _sums(scores[0])
+        for s in scores:
+            s[over] = -1e4
+        covers = [_sums(_covered(scores[k], WINDOW)) for k in (0, 1)]
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], _covered(scores[2], FIELD_WINDOW).astype(np.int8), [0]])))
+        owners = np.searchsorted(starts, edges[::2], "right") - 1
+        spots: dict[int, list[tuple[int, int]]] = {}
+        for owner, a, b in zip(owners.tolist(), edges[::2].tolist(), edges[1::2].tolist()):
+            spots.setdefault(owner, []).append((a - int(starts[owner]), b - int(starts[owner])))
+        for k, text in enumerate(texts):
+            spans = [m.span() for m in _SEGMENT.finditer(text)]
             segments = []
-            for m in _SEGMENT.finditer(text):
-                a, b = m.span()
-                while a < b and text[a].isspace():
-                    a += 1
-                e = min(b - GRAM + 1, len(cells))
-                if e > a:
-                    is_filler = filler[e] - filler[a] >= FILLER_RATIO * (e - a)
-                    segments.append((a, b, float(sums[0][e] - sums[0][a]) / (e - a) if is_filler else 0.0, float(sums[1][e] - sums[1][a]) / (e - a)))
-            field = False
-            if at_field.any():
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], at_field.astype(np.int8), [0]])))
-                for a, b in zip(edges[::2], edges[1::2]):
-                    if FIELD.search(text, max(0, int(a) - 48), min(len(text), int(b) + 52)):
-                        field = True
-                        break
+            if spans:
+                begin = np.array([a for a, _ in spans]) + starts[k]
+                end = np.minimum(np.array([b for _, b in spans]) - GRAM + 1, len(text) - GRAM + 1) + starts[k]
+                n = np.maximum(end - begin, 0)
+                end = begin + n
+                size = np.maximum(n, 1)
+                f = np.where(filler[end] - filler[begin] >= FILLER_RATIO * size, (covers[0][end] - covers[0][begin]) / size, 0.0)
+                c = (covers[1][end] - covers[1][begin]) / size
+                segments = [(a, b, x, y) for (a, b), m, x, y in zip(spans, n.tolist(), f.tolist(), c.tolist()) if m > 0]
+            field = any(FIELD.search(text, max(0, a - 48), min(len(text), b + 52)) for a, b in spots.get(k, ()))
             yield segments, field
 
-    def judge(self, text: str) -> tuple[bool, bool, bool]:
-        """Whether a text has a filler passage, is a notice page, has a template field."""
-        (segments, field) = next(self.block([text]))
-        filler = any(f >= COVER and b - a >= 8 for a, b, f, _ in segments)
-        notice = sum(b - a for a, b, _, n in segments if n >= COVER)
-        body = sum(b - a for a, b, _, n in segments if n >= COVER or _HEADING.search(text, a, b))
-        return filler, bool(notice) and notice >= PAGE * body, field
+    def judge(self, texts: list[str]) -> Iterator[tuple[bool, bool, bool]]:
+        """For each text whether it has a filler passage, is a notice page, has a template field."""
+        for text, (segments, field) in zip(texts, self.block(texts)):
+            filler = any(f >= COVER and b - a >= 8 for a, b, f, _ in segments)
+            notice = sum(b - a for a, b, _, n in segments if n >= COVER)
+            yield filler, bool(notice) and notice >= PAGE * _body(text, segments, COVER), field
+
+
+def _body(text: str, segments: list[tuple[int, int, float, float]], cover: float) -> int:
+    """Characters of a text in notice sentences and in sentences that end as such; headings do not count."""
+    return sum(b - a for a, b, _, n in segments if n >= cover or text[a:b].rstrip()[-1:] in _STOPS)
 
 
 def fit(df: DataFrame) -> np.ndarray:
@@ -229,8 +241,7 @@ def fit(df: DataFrame) -> np.ndarray:
         scorer = Scorer(first.value)
         for text, (segments, _) in zip(block, scorer.block(block)):
             found = [[], []]
-            body = sum(b - a for a, b, _, n in segments if n >= TEACH or _HEADING.search(text, a, b))
-            page = sum(b - a for a, b, _, n in segments if n >= TEACH) >= PAGE * body
+            page = sum(b - a for a, b, _, n in segments if n >= TEACH) >= PAGE * _body(text, segments, TEACH)
             for a, b, f, n in segments:
                 if f >= TEACH and f >= n:
                     found[0].append(text[a:b])
@@ -253,13 +264,13 @@ def residue(df: DataFrame, key: str, text: str) -> DataFrame:
 
     Null, empty and blank texts are no residue. Texts are scored whole. Repeated rows stay; extra columns are left out.
     """
-    texts = df.select(F.col(key).alias(key), F.col(text).alias("text"))
+    texts = spread(df.select(F.col(key).alias(key), F.col(text).alias("text")))
     tables = df.sparkSession.sparkContext.broadcast(fit(texts))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(tables.value)
         for batch in batches:
-            rows = [scorer.judge(v.as_py() or "") for v in batch.column(1)]
+            rows = [r for block in _blocks(v.as_py() for v in batch.column(1)) for r in scorer.judge(block)]
             columns = [pa.array([r[k] for r in rows], pa.bool_()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [key, "has_filler", "is_notice", "has_field"])
 
