@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm.bpe import encoder
+from tessella.tables import spread
 
 #: The vocabulary that queries use, of the installed package of public tokenizers.
 VOCABULARY = "byte_bpe_50k.json"
@@ -53,7 +54,7 @@ def token_ids(df: DataFrame, key: str, text: str, vocab: tuple[bytes, str] | Non
                     yield _lists(batch.column(0).slice(begin, at - begin), flat, offsets)
                     flat, offsets, begin = array("i"), array("i", [0]), at
 
-    return df.select(F.col(key).alias(key), F.col(text).alias("text")).mapInArrow(encode, f"`{key}` {df.schema[key].dataType.simpleString()}, ids array<int>")
+    return spread(df.select(F.col(key).alias(key), F.col(text).alias("text"))).mapInArrow(encode, f"`{key}` {df.schema[key].dataType.simpleString()}, ids array<int>")
 
 
 def _lists(keys: pa.Array, flat: array, offsets: array) -> pa.RecordBatch:
@@ -78,7 +79,7 @@ def token_counts(df: DataFrame, text: str, vocab: tuple[bytes, str] | None = Non
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], numbers], [*kept, "n_tokens"])
 
     schema = df.select(*(f"`{c}`" for c in kept)).schema.add("n_tokens", "long")
-    return df.select(*(f"`{c}`" for c in kept), F.col(text)).mapInArrow(count, schema)
+    return spread(df.select(*(f"`{c}`" for c in kept), F.col(text))).mapInArrow(count, schema)
 
 
 def language(col):

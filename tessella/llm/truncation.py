@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.tables import cut_lineage
+from tessella.tables import cut_lineage, spread
 
 #: Sizes of the groups of words before an end that are counted.
 ORDERS = (1, 2, 3, 4, 6)
@@ -172,7 +172,7 @@ def ends(records: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(states, pa.string()), pa.array(places, pa.string()), pa.array(words, pa.int64()), pa.array(grams, pa.list_(pa.int64()))], ["table_name", "record_id", "origin", "n_chars", "n_bytes", "state", "place", "word", "grams"])
 
     rows = records.filter(F.btrim("text", F.lit(" \t\r\n ")) != "").select("table_name", F.col("record_id").cast("string").alias("record_id"), "origin", F.length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes"), F.substring("text", -TAIL, TAIL).alias("tail"))
-    out = rows.mapInArrow(read, "table_name string, record_id string, origin string, n_chars int, n_bytes int, state string, place string, word long, grams array<long>")
+    out = spread(rows).mapInArrow(read, "table_name string, record_id string, origin string, n_chars int, n_bytes int, state string, place string, word long, grams array<long>")
     return out.groupBy("table_name", "record_id").agg(F.max(F.struct("n_chars", "n_bytes", "origin", "state", "place", "word", "grams")).alias("x")).select("table_name", "record_id", "x.*")
 
 
@@ -207,7 +207,7 @@ def _statistics(records: DataFrame, asked: np.ndarray) -> DataFrame:
         yield tally.send()
 
     texts = records.filter(F.col("text").isNotNull()).select("text")
-    sums = texts.mapInArrow(count, "h long, seen long, ended long, known long, longer long")
+    sums = spread(texts).mapInArrow(count, "h long, seen long, ended long, known long, longer long")
     return sums.groupBy("h").agg(*(F.sum(c).alias(c) for c in ("seen", "ended", "known", "longer")))
 
 
