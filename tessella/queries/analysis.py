@@ -98,7 +98,7 @@ GATES = {
   c AS (SELECT (SELECT count(*) FROM ex) AS wanted, (SELECT count(*) FROM ex WHERE heading NOT IN (SELECT heading FROM se WHERE heading IS NOT NULL)) AS missing, (SELECT count(*) FROM ud) AS used, (SELECT count(*) FROM kn) AS known, (SELECT count(*) FROM kn WHERE chunk_id NOT IN (SELECT chunk_id FROM ud)) AS unused)
   SELECT 'completeness' AS gate_name, missing = 0 AND used / known >= 0.5 AS passed, round(used / known, 6) AS score, wanted + known AS items_checked, wanted - missing + used AS items_passed, missing + unused AS items_failed FROM c""",
     "gate_review": f"WITH {V.SECTIONS}, {ANNOTATIONS} SELECT 'review_quality' AS gate_name, count(*) FILTER (verdict = 'reject') <= 0.15 * count(*) AND avg(confidence) >= 0.7 AND count(*) FILTER (risk_level = 'high') = 0 AS passed, round(avg(confidence), 6) AS score, count(*) AS items_checked, count(*) FILTER (verdict = 'accept') AS items_passed, count(*) FILTER (verdict = 'reject') AS items_failed FROM an",
-    "gate_slides": f"WITH {V.SUMMARIES} SELECT 'slide_quality' AS gate_name, false AS passed, 0.5 AS score, count(*) AS items_checked, count(*) FILTER (coalesce(len(key_facts), 0) <= 2) AS items_passed, count(*) FILTER (len(key_facts) > 2) + CASE WHEN count(*) BETWEEN 80 AND 100 THEN 0 ELSE 1 END AS items_failed FROM su",
+    "gate_slides": f"WITH {V.SUMMARIES} SELECT 'slide_quality' AS gate_name, false AS passed, CAST(0.5 AS DOUBLE) AS score, count(*) AS items_checked, count(*) FILTER (coalesce(len(key_facts), 0) <= 2) AS items_passed, count(*) FILTER (len(key_facts) > 2) + CASE WHEN count(*) BETWEEN 80 AND 100 THEN 0 ELSE 1 END AS items_failed FROM su",
 }
 
 

@@ -10,15 +10,16 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 ARTIFACT = (
     "document_id string, source_file string, pos int, artifact_id string, artifact_type string, content string, is_heading boolean, heading_level int, "
     "heading_path array<string>, table_data array<map<string,string>>, image binary, image_format string, page int, error string"
 )
-_COLUMNS = [c.strip().split(" ")[0] for c in re.sub(r"<[^<>]*(?:<[^<>]*>)?[^<>]*>", "", ARTIFACT).split(",")]
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 #: Style names that make a paragraph a heading begin so.
 _STYLES = ("Heading", "heading", "Title", "Título", "Encabezado")
@@ -34,19 +35,25 @@ def scan(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 def read_documents(files: DataFrame, parse) -> DataFrame:
     """Artifacts of files by `parse(name, bytes)`; a file that cannot be parsed gives one row with its error."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = StructType.fromDDL(ARTIFACT)
+    target = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, data in zip(batch["path"], batch["content"]):
-                name = path.rsplit("/", 1)[-1]
+            for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                name, data = path.rsplit("/", 1)[-1], data.as_py()
                 document = hashlib.sha256(name.encode() + b"\0" + data).hexdigest()[:32]
                 try:
                     rows = list(parse(name, data))
                 except Exception as x:  # noqa: BLE001 - one bad file must not stop the others
                     rows = [{"artifact_type": "error", "error": f"{type(x).__name__}: {x}"[:300]}]
-                out = [{"document_id": document, "source_file": name, "pos": k, "artifact_id": f"{document}-{k:06d}", **r} for k, r in enumerate(rows)]
-                yield pd.DataFrame(out, columns=_COLUMNS).astype({"pos": "Int32", "heading_level": "Int32", "page": "Int32", "is_heading": "boolean"})
+                for k, r in enumerate(rows):
+                    r.update(document_id=document, source_file=name, pos=k, artifact_id=f"{document}-{k:06d}")
+                    if r.get("table_data"):
+                        r["table_data"] = [list(cells.items()) for cells in r["table_data"]]
+                yield pa.RecordBatch.from_pylist(rows, schema=target)
 
-    return files.select("path", "content").mapInPandas(run, ARTIFACT)
+    return files.select("path", "content").mapInArrow(run, schema)
 
 
 def document_totals(artifacts: DataFrame) -> DataFrame:

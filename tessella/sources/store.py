@@ -82,7 +82,7 @@ class Store:
 
     def load_text(self, name: str) -> DataFrame:
         """A text as one row: value; no row if there is none."""
-        return self.spark.read.option("wholetext", True).text(self.path(name)) if self.exists(name) else self.spark.createDataFrame([], "value string")
+        return self.spark.read.text(self.path(name), wholetext=True) if self.exists(name) else self.spark.createDataFrame([], "value string")
 
     def drop(self, name: str) -> None:
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
