@@ -24,12 +24,13 @@ def is_failed_image(kind: Column, status: Column, confidence: Column, described:
 
 
 def latest(df: DataFrame, key: str, version: str) -> DataFrame:
-    """One row for each key: the greatest version, of equal versions the greatest row. Null keys are dropped.
+    """One row for each key: the greatest version, of equal versions the row of the greatest hash. Null keys are dropped.
 
     The row travels once, through an aggregation that shrinks map-side; no window sorts whole groups.
     """
     rest = [c for c in df.columns if c not in (key, version)]
-    ties = F.xxhash64(*(F.to_json(F.struct(*rest)),))
+    # Maps have no hash: the columns that hold one are hashed as JSON.
+    ties = F.xxhash64(*(F.to_json(F.struct(c)) if "map<" in df.schema[c].dataType.simpleString() else F.col(c) for c in rest))
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(F.col(version), ties)).alias("_r"), F.max(version).alias(version)).select(key, version, "_r.*")
 
 

@@ -35,15 +35,12 @@ def containing_pairs(outer: DataFrame, inner: DataFrame) -> DataFrame:
     shorter) among the runs of a, an equi-join that is exact at any size, and then tested.
     """
     a, b = outer.select("a").filter("a <> ''").distinct(), inner.select("b").filter("b <> ''").distinct()
-    parts = []
-    for size in (1, 2, 3):
-        wide = a.filter(F.length("a") >= size).select("a", F.explode(_grams(F.col("a"), size)).alias("gram"))
-        own = b.filter(F.length("b") == size if size < 3 else F.length("b") >= 3).select("b", F.explode(_grams(F.col("b"), size)).alias("gram"))
-        if size == 3:
-            often = wide.groupBy("gram").agg(F.count("*").alias("n"))
-            own = own.join(often, "gram", "left").groupBy("b").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), F.col("gram"))).alias("gram"))
-        parts.append(wide.join(own, "gram").filter(F.contains(F.col("a"), F.col("b"))).select("a", "b"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    runs = F.flatten(F.array(*(F.when(F.length("a") >= n, _grams(F.col("a"), n)).otherwise(F.array().cast("array<string>")) for n in (1, 2, 3))))
+    wide = a.select("a", F.explode(runs).alias("gram"))
+    often = wide.filter("length(gram) = 3").groupBy("gram").agg(F.count("*").alias("n"))
+    own = b.select("b", F.explode(F.when(F.length("b") < 3, F.array("b")).otherwise(_grams(F.col("b"), 3))).alias("gram"))
+    rarest = own.join(often, "gram", "left").groupBy("b").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), F.col("gram"))).alias("gram"))
+    return wide.join(rarest, "gram").filter(F.contains(F.col("a"), F.col("b"))).select("a", "b")
 
 
 def contains_match(targets: DataFrame, groups: DataFrame) -> DataFrame:
