@@ -47,7 +47,9 @@ _END = "\n"
 _MARK = re.compile(r"\s*(?:\[\s*(?:\.{2,}|…)\s*\]|\(\s*(?:\.{2,}|…)\s*\)|<\s*(?:\.{2,}|…)\s*>|�+)\s*$")
 _DOTS = re.compile(r"\s*(?:\.{2,}|…)\s*$")
 _HYPHEN = re.compile(r"(?<=[^\W\d_])[-‐‑]\s*$")
-_CLOSED = re.compile(r"[.!?…][\"'»”’)\]*_]*\s*$|[»”)\]\"]\s*$")
+_CLOSED = re.compile(r"[.!?…][\"'»”’)\]*_]*\s*$|^[\W_]*$")
+#: A full stop after a number or after one or two letters may be part of both.
+_SHORT_STOP = re.compile(r"(?:\d|\s[^\W\d_]{1,2})\.$")
 _ROW = re.compile(r"[-*•|]|\d+[.)]\s")
 _OPEN = frozenset("abcdefghijklmnopqrstuvwxyzáéíóúñç0123456789%,;:|")
 
@@ -134,7 +136,7 @@ def _word_hash(word: str) -> int:
 def read_end(tail: str) -> tuple[str, str | None, list[str], str]:
     """What the end of a text (its last TAIL characters) is: a state, its last word, its last forms, and a place.
 
-    States: `mark` (a mark that only cuts leave), `dots`, `open`, `number` (a number and a full stop), `closed`.
+    States: `mark` (a mark that only cuts leave), `dots`, `open`, `stop` (a full stop that may belong to a number or an abbreviation), `closed`.
     Places: `row` (of a list or table), `name` (the last word is part of one), `text`.
     """
     state, tail = "open", tail.rstrip()
@@ -143,8 +145,8 @@ def read_end(tail: str) -> tuple[str, str | None, list[str], str]:
         return "mark", None, [], "text"
     if last in ".…" and (m := _DOTS.search(end)):
         state, tail = "dots", tail[: len(tail) - len(end) + m.start()].rstrip()
-    elif last == "." and tail[-2:-1].isdigit():
-        state, tail = "number", tail[:-1]
+    elif last == "." and _SHORT_STOP.search(end):
+        state, tail = "stop", tail[:-1]
     elif last not in _OPEN and _CLOSED.search(end):
         return "closed", None, [], "text"
     tokens = forms(tail[tail.find(" ") + 1 :] if len(tail) >= TAIL - 8 else tail)[-ORDERS[-1] :]
@@ -298,14 +300,14 @@ def cut_records(records: DataFrame) -> DataFrame:
         .join(limits, ["table_name", "origin_key"], "left")
         .join(judged, ["table_name", "record_id"], "left")
         .withColumn("at_limit", hit("chars", 0) | hit("bytes", 0) | (hit("bytes", 3) & (F.coalesce("p_end", F.lit(0.0)) < ENDS_AT_LIMIT)))
-        .withColumns({"p_end": F.coalesce("p_end", F.lit(0.0)), "unknown_prefix": F.coalesce("unknown_prefix", F.lit(False))})
+        .withColumns({"p_known": F.col("p_end").isNotNull(), "p_end": F.coalesce("p_end", F.lit(0.0)), "unknown_prefix": F.coalesce("unknown_prefix", F.lit(False))})
     )
     broken = F.col("unknown_prefix") & ((F.col("p_end") < 0.5) | (F.col("place") == "name"))
     whole_here = F.when(F.col("place") == "row", F.col("p_end") >= ENDS_AT_LIMIT).otherwise(False)
     is_cut = (
         F.when(F.col("state") == "closed", False)
         .when(F.col("state") == "mark", True)
-        .when(F.col("state") == "number", F.col("p_end") < 0.02)
+        .when(F.col("state") == "stop", F.col("p_known") & (F.col("p_end") < 0.02))
         .when(F.col("state") == "dots", broken | (F.col("p_end") < F.when(F.col("at_limit"), 0.9).otherwise(0.05)))
         .when(F.col("at_limit"), broken | ~whole_here)
         .otherwise(broken | (F.col("p_end") < ENDS_ELSEWHERE))

@@ -78,7 +78,7 @@ def test_rates(spark):
 
 
 @pytest.mark.parametrize(
-    "tail, state", [("todo bien.", "closed"), ("¿y qué?", "closed"), ("«fin».", "closed"), ("(sí.)", "closed"), ("sigue...", "dots"), ("sigue…", "dots"), ("corta [...]", "mark"), ("cor�", "mark"), ("regis-", "mark"), ("en 2019.", "number"), ("en la", "open"), ("en la \n", "open"), ("| a | 3 |", "open")]
+    "tail, state", [("todo bien.", "closed"), ("¿y qué?", "closed"), ("«fin».", "closed"), ("(sí.)", "closed"), ("sigue...", "dots"), ("sigue…", "dots"), ("corta [...]", "mark"), ("cor�", "mark"), ("regis-", "mark"), ("en 2019.", "stop"), ("figura como n.", "stop"), ("el lote (código 5)", "open"), ("dijo «sí»", "open"), ("...", "dots"), ("---", "closed"), ("en la", "open"), ("en la \n", "open"), ("| a | 3 |", "open")]
 )
 def test_states(tail, state):
     assert T.read_end(tail)[0] == state
