@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tessella.functions.text import HEADING_STYLES
+
 ARTIFACT = (
     "document_id string, source_file string, pos int, artifact_id string, artifact_type string, content string, is_heading boolean, heading_level int, "
     "heading_path array<string>, table_data array<map<string,string>>, image binary, image_format string, page int, error string"
 )
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
-#: Style names that make a paragraph a heading begin so.
-_STYLES = ("Heading", "heading", "Title", "Título", "Encabezado")
 #: An archive whose parts unpack to more than this is refused.
 MOST_BYTES = 2_000_000_000
 
@@ -109,7 +109,7 @@ def parse_docx(name: str, data: bytes) -> Iterator[dict]:
                     continue
                 style = element.find(f"{_W}pPr/{_W}pStyle")
                 label = styles.get(style.get(f"{_W}val"), style.get(f"{_W}val") or "") if style is not None else ""
-                row = {"artifact_type": "text", "content": text, "is_heading": label.startswith(_STYLES)}
+                row = {"artifact_type": "text", "content": text, "is_heading": label.startswith(HEADING_STYLES)}
                 if row["is_heading"]:
                     row["heading_level"] = next((int(p) for p in label.split() if p.isdigit()), 1)
                     row["heading_path"] = above.heading(text, row["heading_level"])
