@@ -122,6 +122,11 @@ def is_reviewed(text: Column) -> Column:
     return F.coalesce(F.contains(upper, F.lit("REVIEWED: YES")) | F.contains(upper, F.lit("APPROVED")), F.lit(False))
 
 
+def exact_mean(value: Column) -> Column:
+    """The mean of a column as an aggregate that doesn't depend on the order of rows: nine decimals are summed exactly."""
+    return F.avg(value.cast("decimal(18,9)")).cast("double")
+
+
 def relative_error(value: Column, against: Column) -> Column:
     """Difference in terms of the value that it is held against; null where that is 0 or null."""
     return F.try_divide(F.abs(value - against), F.abs(against))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.functions.text import exact_mean
 from tessella.tables import clean_id
 
 
@@ -64,7 +65,7 @@ def file_stats(summaries: DataFrame, numeric: DataFrame) -> DataFrame:
     numbers = numeric.filter("source_file is not null").groupBy("source_file").agg(F.count("*").alias("n_numeric"))
     by_file = summaries.groupBy("source_file").agg(
         F.count("*").alias("n_chunks"),
-        F.avg("confidence").alias("avg_confidence"),
+        exact_mean(F.col("confidence")).alias("avg_confidence"),
         F.sum(F.greatest(F.size("key_facts"), F.lit(0))).alias("n_facts"),
         F.sum(F.greatest(F.size("uncertainties"), F.lit(0))).alias("n_uncertainties"),
     )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessella.functions.text import numbers
+from tessella.functions.text import exact_mean, numbers
 from tessella.operators.lineage import section_references
 from tessella.tables import clean_id
 
@@ -25,7 +25,7 @@ def _gate(name: str, df: DataFrame, passed: Column, score: Column, checked: Colu
 def confidence_gate(rows: DataFrame, name: str, threshold: float = 0.85) -> DataFrame:
     """Passes if no row's confidence is under the threshold; the score is the mean. Null confidence counts as 0; no rows pass with 1."""
     c = F.coalesce("confidence", F.lit(0.0))
-    counts = rows.agg(F.count("*").alias("n"), F.count_if(c < threshold).alias("low"), F.avg(c).alias("mean"))
+    counts = rows.agg(F.count("*").alias("n"), F.count_if(c < threshold).alias("low"), exact_mean(c).alias("mean"))
     return _gate(name, counts, F.col("low") == 0, F.coalesce("mean", F.lit(1.0)), F.col("n"), F.col("n") - F.col("low"), F.col("low"))
 
 

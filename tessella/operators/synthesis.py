@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.functions.text import word_count
+from tessella.functions.text import exact_mean, word_count
 from tessella.tables import clean_id
 
 
@@ -19,7 +19,7 @@ def section_groups(summaries: DataFrame) -> DataFrame:
     """By section key: number of summaries, mean confidence (0 for none known), ids in order of sequence, document and id."""
     member = F.struct("sequence_index", "document_id", "summary_id")
     return summaries.groupBy(section_key(F.col("section_title"), F.col("heading_path")).alias("section")).agg(
-        F.count("*").alias("n_summaries"), F.coalesce(F.avg("confidence"), F.lit(0.0)).alias("avg_confidence"), F.transform(F.array_sort(F.collect_list(member)), lambda m: m["summary_id"]).alias("summary_ids")
+        F.count("*").alias("n_summaries"), F.coalesce(exact_mean(F.col("confidence")), F.lit(0.0)).alias("avg_confidence"), F.transform(F.array_sort(F.collect_list(member)), lambda m: m["summary_id"]).alias("summary_ids")
     )
 
 

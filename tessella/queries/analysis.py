@@ -67,7 +67,7 @@ def inverted_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {V.SUMMARIES}, {V.NUMERIC}, n AS (SELECT source_file, count(*) AS n_numeric FROM nu GROUP BY 1)
-SELECT source_file, count(*) AS n_chunks, round(avg(confidence), 6) AS avg_confidence, CAST(sum(coalesce(len(key_facts), 0)) AS BIGINT) AS n_facts, CAST(sum(coalesce(len(uncertainties), 0)) AS BIGINT) AS n_uncertainties, coalesce(max(n_numeric), 0) AS n_numeric
+SELECT source_file, count(*) AS n_chunks, round(avg(CAST(confidence AS DECIMAL(18,9))), 6) AS avg_confidence, CAST(sum(coalesce(len(key_facts), 0)) AS BIGINT) AS n_facts, CAST(sum(coalesce(len(uncertainties), 0)) AS BIGINT) AS n_uncertainties, coalesce(max(n_numeric), 0) AS n_numeric
 FROM su LEFT JOIN n USING (source_file) GROUP BY 1""")
 def file_stats(spark: SparkSession, d: str) -> DataFrame:
     return lineage.file_stats(V.summaries(spark, d), V.numeric(spark, d)).withColumn("avg_confidence", F.round("avg_confidence", 6))
@@ -89,7 +89,7 @@ def _annotations(spark: SparkSession, d: str) -> DataFrame:
 
 
 ANNOTATIONS = "an AS (SELECT section_id, draft_id, confidence, CASE WHEN coalesce(confidence, 0) < 0.6 THEN 'reject' WHEN coalesce(confidence, 0) < 0.75 THEN 'edit' ELSE 'accept' END AS verdict, CASE WHEN coalesce(confidence, 0) < 0.55 THEN 'high' ELSE 'low' END AS risk_level FROM se)"
-_CONFIDENCE = "SELECT '{name}' AS gate_name, count(*) FILTER (coalesce(confidence, 0) < 0.85) = 0 AS passed, round(coalesce(avg(coalesce(confidence, 0)), 1), 6) AS score, count(*) AS items_checked, count(*) FILTER (coalesce(confidence, 0) >= 0.85) AS items_passed, count(*) FILTER (coalesce(confidence, 0) < 0.85) AS items_failed FROM {of}"
+_CONFIDENCE = "SELECT '{name}' AS gate_name, count(*) FILTER (coalesce(confidence, 0) < 0.85) = 0 AS passed, round(coalesce(avg(CAST(coalesce(confidence, 0) AS DECIMAL(18,9))), 1), 6) AS score, count(*) AS items_checked, count(*) FILTER (coalesce(confidence, 0) >= 0.85) AS items_passed, count(*) FILTER (coalesce(confidence, 0) < 0.85) AS items_failed FROM {of}"
 GATES = {
     "gate_summary": f"WITH {V.SUMMARIES} " + _CONFIDENCE.format(name="summary_confidence", of="su"),
     "gate_draft": f"WITH {V.SECTIONS} " + _CONFIDENCE.format(name="draft_confidence", of="se"),
@@ -97,7 +97,7 @@ GATES = {
   kn AS (SELECT DISTINCT {V.CLEAN.format("chunk_id")} AS chunk_id FROM su WHERE chunk_id IS NOT NULL), ud AS (SELECT DISTINCT chunk_id FROM refs),
   c AS (SELECT (SELECT count(*) FROM ex) AS wanted, (SELECT count(*) FROM ex WHERE heading NOT IN (SELECT heading FROM se WHERE heading IS NOT NULL)) AS missing, (SELECT count(*) FROM ud) AS used, (SELECT count(*) FROM kn) AS known, (SELECT count(*) FROM kn WHERE chunk_id NOT IN (SELECT chunk_id FROM ud)) AS unused)
   SELECT 'completeness' AS gate_name, missing = 0 AND used / known >= 0.5 AS passed, round(used / known, 6) AS score, wanted + known AS items_checked, wanted - missing + used AS items_passed, missing + unused AS items_failed FROM c""",
-    "gate_review": f"WITH {V.SECTIONS}, {ANNOTATIONS} SELECT 'review_quality' AS gate_name, count(*) FILTER (verdict = 'reject') <= 0.15 * count(*) AND avg(confidence) >= 0.7 AND count(*) FILTER (risk_level = 'high') = 0 AS passed, round(avg(confidence), 6) AS score, count(*) AS items_checked, count(*) FILTER (verdict = 'accept') AS items_passed, count(*) FILTER (verdict = 'reject') AS items_failed FROM an",
+    "gate_review": f"WITH {V.SECTIONS}, {ANNOTATIONS} SELECT 'review_quality' AS gate_name, count(*) FILTER (verdict = 'reject') <= 0.15 * count(*) AND avg(CAST(confidence AS DECIMAL(18,9))) >= 0.7 AND count(*) FILTER (risk_level = 'high') = 0 AS passed, round(avg(CAST(confidence AS DECIMAL(18,9))), 6) AS score, count(*) AS items_checked, count(*) FILTER (verdict = 'accept') AS items_passed, count(*) FILTER (verdict = 'reject') AS items_failed FROM an",
     "gate_slides": f"WITH {V.SUMMARIES} SELECT 'slide_quality' AS gate_name, false AS passed, CAST(0.5 AS DOUBLE) AS score, count(*) AS items_checked, count(*) FILTER (coalesce(len(key_facts), 0) <= 2) AS items_passed, count(*) FILTER (len(key_facts) > 2) + CASE WHEN count(*) BETWEEN 80 AND 100 THEN 0 ELSE 1 END AS items_failed FROM su",
 }
 
@@ -124,7 +124,7 @@ def gate_completeness(spark: SparkSession, d: str) -> DataFrame:
 
 @query(GATES["gate_review"])
 def gate_review(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(quality.review_gate(_annotations(spark, d), F.avg("confidence"), F.count_if(F.col("risk_level") == "high")))
+    return _rounded(quality.review_gate(_annotations(spark, d), T.exact_mean(F.col("confidence")), F.count_if(F.col("risk_level") == "high")))
 
 
 @query(GATES["gate_slides"])
@@ -221,7 +221,7 @@ _KEY = "coalesce(nullif(section_title, ''), nullif(heading_path[1], ''), 'Genera
 _GROUPS = f"gr AS (SELECT {_KEY} AS section, row_number() OVER (ORDER BY {_KEY}) AS ord FROM su GROUP BY 1)"
 
 
-@query(f"WITH {V.SUMMARIES} SELECT {_KEY} AS section, count(*) AS n_summaries, round(coalesce(avg(confidence), 0), 6) AS avg_confidence, string_agg(summary_id, ',' ORDER BY sequence_index NULLS FIRST, document_id, summary_id) AS summary_ids FROM su GROUP BY 1")
+@query(f"WITH {V.SUMMARIES} SELECT {_KEY} AS section, count(*) AS n_summaries, round(coalesce(avg(CAST(confidence AS DECIMAL(18,9))), 0), 6) AS avg_confidence, string_agg(summary_id, ',' ORDER BY sequence_index NULLS FIRST, document_id, summary_id) AS summary_ids FROM su GROUP BY 1")
 def section_groups(spark: SparkSession, d: str) -> DataFrame:
     return synthesis.section_groups(V.summaries(spark, d)).select("section", "n_summaries", r6(F.col("avg_confidence"), "avg_confidence"), F.array_join("summary_ids", ",").alias("summary_ids"))
 
@@ -265,7 +265,7 @@ def heading_to_id(spark: SparkSession, d: str) -> DataFrame:
     return synthesis.heading_ids(_named_groups(spark, d).select(F.col("section").alias("name")), V.sections(spark, d))
 
 
-@query(f"""WITH {V.SECTIONS}, o AS (SELECT heading, arg_max(confidence, (pos, section_id)) AS c FROM se WHERE version = 1 GROUP BY 1)
+@query(f"""WITH {V.SECTIONS}, o AS (SELECT heading, arg_max(struct_pack(x := confidence), (pos, section_id)).x AS c FROM se WHERE version = 1 GROUP BY 1)
 SELECT section_id, round(coalesce(c, 0), 6) AS carried FROM se LEFT JOIN o ON o.heading = se.heading WHERE version = 2""")
 def carried_lineage(spark: SparkSession, d: str) -> DataFrame:
     se = V.sections(spark, d)
