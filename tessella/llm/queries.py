@@ -58,7 +58,7 @@ QUERIES = {"p2_token_budget": p2_token_budget, "p3_found": p3_found, "p3_cut_rat
 SQL: dict[str, str] = {
     "p4_found": """
 SELECT artifact_id FROM (
-  SELECT artifact_id, arg_max(length(content), struct_pack(d := delivered_at, n := coalesce(length(content), 0))) AS n,
+  SELECT artifact_id, arg_max(struct_pack(x := length(content)), struct_pack(d := delivered_at, n := coalesce(length(content), 0))).x AS n,
          arg_max(artifact_type, struct_pack(d := delivered_at, n := coalesce(length(content), 0))) AS artifact_type
   FROM artifacts GROUP BY artifact_id) JOIN size_limits USING (artifact_type) WHERE n > max_chars
 """,
