@@ -159,7 +159,8 @@ def read_end(tail: str) -> tuple[str, str | None, list[str], str]:
 def ends(records: DataFrame) -> DataFrame:
     """Each record once with what its end is: table_name, record_id, origin, n_chars, n_bytes, state, place, word, grams.
 
-    `grams` holds hashes of the groups of forms at its end, `word` that of its last word. Null and blank texts are left out.
+    `grams` holds hashes of the groups of forms at its end, `word` that of its last word. Null and blank texts, and
+    records without an id, are left out.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +174,7 @@ def ends(records: DataFrame) -> DataFrame:
                 places.append(place)
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(states, pa.string()), pa.array(places, pa.string()), pa.array(words, pa.int64()), pa.array(grams, pa.list_(pa.int64()))], ["table_name", "record_id", "origin", "n_chars", "n_bytes", "state", "place", "word", "grams"])
 
-    rows = records.filter(F.btrim("text", F.lit(" \t\r\n ")) != "").select("table_name", F.col("record_id").cast("string").alias("record_id"), "origin", F.length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes"), F.substring("text", -TAIL, TAIL).alias("tail"))
+    rows = records.filter(F.col("record_id").isNotNull()).filter(F.btrim("text", F.lit(" \t\r\n ")) != "").select("table_name", F.col("record_id").cast("string").alias("record_id"), "origin", F.length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes"), F.substring("text", -TAIL, TAIL).alias("tail"))
     out = spread(rows).mapInArrow(read, "table_name string, record_id string, origin string, n_chars int, n_bytes int, state string, place string, word long, grams array<long>")
     return out.groupBy("table_name", "record_id").agg(F.max(F.struct("n_chars", "n_bytes", "origin", "state", "place", "word", "grams")).alias("x")).select("table_name", "record_id", "x.*")
 
@@ -273,7 +274,7 @@ class _Tally:
 def cut_records(records: DataFrame) -> DataFrame:
     """Every record once with `is_cut`, and the evidence: state, at_limit, unknown_prefix, p_end.
 
-    `records` has table_name, record_id, origin and text. Null and blank texts are not cut and have state `blank`. A
+    `records` has table_name, record_id, origin and text. Null and blank texts are not cut and have no row. A
     finished text is not cut whatever its length; a text that ends in a full stop is finished. Repeated records count
     once, by the longest of their texts.
     """
