@@ -25,10 +25,12 @@ def clean_id(col):
 def spread(df: DataFrame) -> DataFrame:
     """`df` in as many partitions as the cluster has cores, if a small input came in fewer; for work in Python on texts.
 
-    Large inputs have more partitions than that and are left as they are, without a shuffle.
+    Large inputs have more partitions than that and are left as they are, without a shuffle, as is what comes from one.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    cores, plan = df.sparkSession.sparkContext.defaultParallelism, df._jdf.queryExecution()
+    if "Exchange" in plan.executedPlan().toString():  # asking for its partitions would run it
+        return df
+    return df.repartition(cores) if plan.toRdd().getNumPartitions() < cores else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
