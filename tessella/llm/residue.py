@@ -1,9 +1,10 @@
 """Template residue, filler, error pages and notices instead of content (problem 8).
 
-Four models of character GRAM-grams in one hashed table of fixed size: natural prose, counted over all texts, and
-filler, notices and template fields, from the phrases below. Log likelihood ratios against natural prose, averaged over
-windows, localise residue; a second round adds what the first found in all texts to the filler and notice models, so
-that wordings beyond the phrases are learnt from the corpus. A text is residue if a sentence or line of it is mostly
+Four models of character GRAM-grams in one hashed table of fixed size: natural prose, counted over the distinct sentences
+and lines of all texts, and filler, notices and template fields, from the phrases below. Log likelihood ratios against
+natural prose, averaged over windows, localise residue; a second round adds the distinct sentences that the first found in
+all texts to the filler and notice models, so that wordings beyond the phrases are learnt from the corpus. A sentence
+counts once however many rows repeat it: repetition makes nothing natural. A text is residue if a sentence or line of it is mostly
 covered by filler windows, if most of it is covered by notice windows, or if a window of the field model holds a field.
 """
 
@@ -129,19 +130,59 @@ def _count(text: str) -> np.ndarray:
     return np.bincount(_cells(_codes(text)), minlength=CELLS)
 
 
-def _sum_of(df: DataFrame, per_text, width: int) -> np.ndarray:
-    """Sum over all texts of arrays of `width` x CELLS counts, each task's cells summed before the shuffle."""
+def _plain(texts: list[str]) -> str:
+    """Texts end to end in the form of `_codes()`, but with their line ends, and GRAM - 1 line ends after each."""
+    whole = "".join(t + "\n" * (GRAM - 1) for t in texts)
+    codes = _codes(whole)
+    codes[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32) == 10] = 10
+    return codes.tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def _after(plain: str, at: int) -> int:
+    """The GRAM - 1 characters that follow a sentence, as a number."""
+    out = 0
+    for c in plain[at : at + GRAM - 1]:
+        out = out << 21 | ord(c)
+    return out
+
+
+def _distinct_counts(df: DataFrame, pieces, width: int) -> np.ndarray:
+    """Grams of the distinct sentences and lines that `pieces` gives for blocks of texts, as `width` x CELLS counts.
+
+    `pieces` yields (class, sentence, what follows it). Each sentence counts once for a class, with the grams that reach
+    over its ends: after white space, and with the least of what follows it anywhere.
+    """
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in _blocks(v.as_py() for v in batch.column(0)):
+                least: dict[tuple[int, str], int] = {}
+                for k, piece, after in pieces(block):
+                    if after < least.get((k, piece), 1 << 63):
+                        least[k, piece] = after
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in least], pa.int32()), pa.array([p for _, p in least], pa.string()), pa.array(list(least.values()), pa.int64())], ["k", "piece", "after"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, CELLS), np.int64)
         for batch in batches:
-            for block in _blocks(v.as_py() for v in batch.column(0)):
-                per_text(block, total)
+            classes, said, afters = (c.to_pylist() for c in batch.columns)
+            lines = [" " + p + "".join(chr(a >> shift & 0x1FFFFF) for shift in range(21 * (GRAM - 2), -1, -21)) for p, a in zip(said, afters)]
+            sizes = np.array([len(x) for x in lines], np.int64)
+            blocks = np.flatnonzero(np.diff(np.cumsum(sizes) // BLOCK, prepend=-1)).tolist()
+            for lo, hi in zip(blocks, [*blocks[1:], len(lines)]):
+                cells, n = _cells(_codes("".join(lines[lo:hi]))), sizes[lo:hi]
+                inside = np.ones(int(n.sum()), bool)
+                inside[(np.cumsum(n)[:, None] - 1 - np.arange(GRAM - 1)).ravel()] = False
+                inside, of = inside[: len(cells)], np.repeat(classes[lo:hi], n)[: len(cells)]
+                for k in range(width):
+                    total[k] += np.bincount(cells[inside & (of == k)], minlength=CELLS)
         flat = total.reshape(-1)
         cells = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(flat[cells])], ["cell", "n"])
 
-    rows = df.select("text").filter(F.col("text").isNotNull()).mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    texts = df.select("text").filter(F.col("text").isNotNull())
+    distinct = texts.mapInArrow(split, "k int, piece string, after long").groupBy("k", "piece").agg(F.min("after").alias("after"))
+    rows = distinct.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(width * CELLS, np.int64)
     out[rows["cell"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return out.reshape(width, CELLS)
@@ -233,25 +274,26 @@ def _body(text: str, segments: list[tuple[int, int, float, float]], cover: float
 
 def fit(df: DataFrame) -> np.ndarray:
     """Ratio tables of filler, notices and fields against the natural prose of all texts of `df`."""
-    natural = _sum_of(df, lambda block, total: total[0].__iadd__(_count("\n".join(block))), 1)[0]
+
+    def every(block: list[str]) -> Iterator[tuple[int, str, int]]:
+        plain = _plain(block)
+        for m in _SEGMENT.finditer(plain):
+            yield 0, m.group(), _after(plain, m.end())
+
+    natural = _distinct_counts(df, every, 1)[0]
     own = phrase_counts()
     first = df.sparkSession.sparkContext.broadcast(np.stack([_ratio(x, natural) for x in own]))
 
-    def teach(block: list[str], total: np.ndarray) -> None:
+    def teach(block: list[str]) -> Iterator[tuple[int, str, int]]:
         scorer = Scorer(first.value)
         for text, (segments, _) in zip(block, scorer.block(block)):
-            found = [[], []]
             page = sum(b - a for a, b, _, n in segments if n >= TEACH) >= PAGE * _body(text, segments, TEACH)
-            for a, b, f, n in segments:
-                if f >= TEACH and f >= n:
-                    found[0].append(text[a:b])
-                elif n >= TEACH and page:
-                    found[1].append(text[a:b])
-            for k in (0, 1):
-                if found[k]:
-                    np.add.at(total[k], _cells(_codes("\n".join(found[k]))), 1)
-
-    learnt = _sum_of(df, teach, 2)
+            found = [(0 if f >= TEACH and f >= n else 1, a, b) for a, b, f, n in segments if (f >= TEACH and f >= n) or (n >= TEACH and page)]
+            plain = _plain([text]) if found else ""
+            for k, a, b in found:
+                yield k, plain[a:b], _after(plain, b)
+
+    learnt = _distinct_counts(df, teach, 2)
     for k in (0, 1):
         if learnt[k].sum():
             own[k] = own[k] / own[k].sum() + learnt[k] / learnt[k].sum()

@@ -54,3 +54,12 @@ def test_scores_do_not_depend_on_neighbours(judged):
     texts = ["Este es un texto de ejemplo.", "", "x", "La mesa técnica revisó la ruta.", "Acceso denegado"]
     together = list(scorer.judge(texts))
     assert together == [next(scorer.judge([t])) for t in texts]
+
+
+@pytest.mark.parametrize("line, around", [("Este es un texto de ejemplo.", ""), ("Este es un texto de ejemplo.", "La mesa técnica revisó la ruta escolar."), ("Error 404: página no encontrada", "")])
+def test_repetition_makes_nothing_natural(spark, line, around):
+    rng = random.Random(4)
+    body = lambda: " ".join(f"{rng.choice(AGENTS)} {rng.choice(ACTS)}." for _ in range(4))
+    rows = [(k, body()) for k in range(200)] + [(k, f"{around}\n{line}\n{around}".strip()) for k in range(200, 300)] + [(300, f"{body()}\nEste es un texto de ejemplo.\n{body()}")]
+    got = {r["doc_id"]: r["is_residue"] for r in R.residue(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()}
+    assert got == {k: k >= 200 for k, _ in rows}
