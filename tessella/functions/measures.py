@@ -158,7 +158,9 @@ def label_statement(dimension: str, label: str) -> tuple[tuple[float, float] | N
     return None, 1.0
 
 
-_HEAD = re.compile(r"^\s*\(?\s*(?:(?:valores|cifras|datos|montos)\s+(?:expresad[oa]s\s+)?en|unidad(?:es)?(?:\s+de\s+medida)?:)\s+(.{1,45}?)(?:\)\s|\)\.|\.\s+(?=[A-ZÁÉÍÓÚÑ]))", re.I)
+_HEAD = re.compile(r"^\s*\(?\s*(?i:(?:valores|cifras|datos|montos)\s+(?:expresad[oa]s\s+)?en|unidad(?:es)?(?:\s+de\s+medida)?:)\s+(?=(.{1,47}))")
+#: Where a heading may end; a dot before lower case belongs to an abbreviation like `hab. por km2`.
+_HEAD_END = re.compile(r"\)(?=[\s.])|\.(?=\s+[A-ZÁÉÍÓÚÑ])")
 _NUMBER = re.compile(r"[-−]?\d(?:[\d.,'’   ]*\d)?")
 
 
@@ -205,7 +207,16 @@ def context_statement(dimension: str, value: float | None, context: str) -> tupl
                 if dimension == "money" and re.search(r"(?:\$|COP)\s*$", context[max(0, begin - 5) : begin]):
                     return 1.0, 0.0
     if m := _HEAD.match(context):
-        return unit(dimension, m[1])
+        return _heading(dimension, context[m.end() : m.end() + 60], len(m[1]))
+    return None
+
+
+def _heading(dimension: str, text: str, most: int) -> tuple[float, float] | None:
+    """The unit that the longest heading at the start of a text spells; a closing bracket at its end may be the unit's."""
+    for end in reversed([m for m in _HEAD_END.finditer(text) if 0 < m.start() < most]):
+        for part in (text[: end.end()], text[: end.start()]):
+            if found := unit(dimension, part):
+                return found
     return None
 
 

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tessella.functions import measures
 from tessella.operators import orphans, units
 
 ENTRIES = "entry_id long, measure_key string, label string, value double, unit string, context string, extracted_at timestamp"
@@ -43,6 +44,24 @@ def test_pairs_of_no_entries(spark):
     assert pairs(spark, []) == set()
 
 
+@pytest.mark.parametrize(
+    "dimension, context, expected",
+    [
+        ("density", "(Valores en hab. por km2) En 2015, Alguatá reportó 85,57.", 1.0), ("density", "Cifras en hab. por km2. El valor adoptado fue de 25.", 1.0), ("density", "UNIDAD: hab. por ha. El valor fue de 25.", 100.0),
+        ("population", "Unidad: mill. hab.. En 2015 hubo más.", 1e6), ("population", "(Valores en mill. hab.) Población total.", 1e6), ("population", "cifras en hab. En 2015 hubo más.", 1.0), ("share", "Unidad: proporción (0-1). En 2021 bajó.", 100.0),
+        ("population", "Cifras en hab. por km2. El valor fue de 25.", None), ("area", "Cifras en ha. En km2. Otra cosa.", 1.0), ("area", "Valores en el plano. Otra cosa.", None),
+    ],
+)
+def test_headings_with_abbreviations(dimension, context, expected):
+    found = measures.context_statement(dimension, 7.5, context)
+    assert (found and found[0]) == expected
+
+
+def test_pairs_by_a_heading_with_abbreviations(spark):
+    rows = [(1, "DE01:T:2020", "Densidad", 85.57, None, "(Valores en hab. por km2) En 2015 subió."), (2, "DE01:T:2020", "Densidad", 0.855709, "hab/ha", None)]
+    assert pairs(spark, rows) == {(1, 2)}
+
+
 def test_pairs_equal_all_pairs_with_a_hot_key(spark):
     rng = random.Random(3)
     spell = {"ha": 1.0, "km²": 100.0, "m2": 1e-4, "acres": 0.40468564224, "fanegadas": 0.64}
