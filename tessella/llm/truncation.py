@@ -44,6 +44,8 @@ _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|\n|[^\w\s]")
 _WORD = re.compile(r"[^\W\d_]+")
 _STOPS = {".", "!", "?", "…", "\n"}
 _END = "\n"
+#: Stands after a text whose open last form was taken off; neither a stop nor a form that any text has.
+_BREAK = "<break>"
 _MARK = re.compile(r"\s*(?:\[\s*(?:\.{2,}|…)\s*\]|\(\s*(?:\.{2,}|…)\s*\)|<\s*(?:\.{2,}|…)\s*>|�+)\s*$")
 _DOTS = re.compile(r"\s*(?:\.{2,}|…)\s*$")
 _HYPHEN = re.compile(r"(?<=[^\W\d_])[-‐‑]\s*$")
@@ -223,11 +225,13 @@ class _Tally:
         self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def tokens(self, text: str) -> list[str]:
-        """The forms of a text without an open last one, the words of its names counted."""
+        """The forms of a text, a break for an open last one, the words of its names counted."""
         names: list[str] = []
         tokens = forms(text, names)
-        if tokens and tokens[-1] != _END and tokens.pop() == "N" and names:
-            names[-1] = names[-1].rpartition(" ")[0]
+        if tokens and tokens[-1] != _END:
+            if tokens[-1] == "N" and names:
+                names[-1] = names[-1].rpartition(" ")[0]
+            tokens[-1] = _BREAK
         self.words.update(_WORD.findall(" ".join(names).lower()))
         return tokens
 

@@ -90,3 +90,13 @@ def test_group_hashes_agree():
     tokens = T.forms("En 2019 el Concejo de Villa Nueva aprobó 1.234 obras.\nFin")
     own = np.array([T._HASHES[t] for t in tokens], np.uint64)
     assert [int(T.all_group_hashes(own, n)[-1]) for n in T.ORDERS if n <= len(tokens)] == T.group_hashes(tokens)
+
+
+@pytest.mark.parametrize("value, ended", [("La junta aprobó el plan vi", 0), ("La junta aprobó el plan", None), ("La junta aprobó el plan.", 1), ("La junta aprobó el plan Nacional de Ag", 0)])
+def test_an_open_end_ends_no_sentence(value, ended):
+    import numpy as np
+
+    tally = T._Tally(np.ones(T.BITS, bool))
+    tally.add([*tally.tokens(value), *[T._END] * T.ORDERS[-1]])
+    got = {h: (a, b) for hashes, seen, ends in tally.found for h, a, b in zip(hashes.tolist(), seen.tolist(), ends.tolist())}
+    assert [got.get(h) for h in T.group_hashes(["aprobó", "el", "plan"])] == [None if ended is None else (1, ended)] * 3
