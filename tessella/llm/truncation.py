@@ -38,6 +38,8 @@ TAIL = 200
 #: Bits of the bitmap, and the most different words that a task counts before it sends its counts on.
 BITS, MOST = 1 << 23, 400_000
 
+#: White space in Python, for what is cut off before a tail is taken.
+_BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _UPPER = "A-ZÁÉÍÓÚÑÜÂÊÔÃÕÇÀÖÄ"
 _NAME = re.compile(rf"(?<=[\w,;:%)»”] )[{_UPPER}]\w*(?: (?:de la |de los |del |de |da |do )?[{_UPPER}]\w*)*")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|\n|[^\w\s]")
@@ -135,9 +137,11 @@ def _word_hash(word: str) -> int:
     return xxhash.xxh64_intdigest("word " + word) - (1 << 63)
 
 
-def read_end(tail: str) -> tuple[str, str | None, list[str], str]:
+def read_end(tail: str, line: str = "") -> tuple[str, str | None, list[str], str]:
     """What the end of a text (its last TAIL characters) is: a state, its last word, its last forms, and a place.
 
+    `line` is how the last line begins, if it begins before the tail.
+
     States: `mark` (a mark that only cuts leave), `dots`, `open`, `stop` (a full stop that may belong to a number or an abbreviation), `closed`.
     Places: `row` (of a list or table), `name` (the last word is part of one), `text`.
     """
@@ -153,7 +157,7 @@ def read_end(tail: str) -> tuple[str, str | None, list[str], str]:
         return "closed", None, [], "text"
     tokens = forms(tail[tail.find(" ") + 1 :] if len(tail) >= TAIL - 8 else tail)[-ORDERS[-1] :]
     last = re.search(r"[^\W\d_]+$", tail)
-    line = tail[tail.rfind("\n") + 1 :].lstrip() if "\n" in tail else ""
+    line = tail[tail.rfind("\n") + 1 :].lstrip() if "\n" in tail else line.lstrip()
     place = "row" if _ROW.match(line) else "name" if tokens and tokens[-1] == "N" else "text"
     return state, last.group().lower() if last else None, tokens, place
 
@@ -168,15 +172,17 @@ def ends(records: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             states, words, grams, places = [], [], [], []
-            for tail in batch.column(5):
-                state, word, tokens, place = read_end(tail.as_py())
+            for tail, line in zip(batch.column(5), batch.column(6)):
+                state, word, tokens, place = read_end(tail.as_py(), line.as_py())
                 states.append(state)
                 words.append(None if word is None else _word_hash(word))
                 grams.append(group_hashes(tokens))
                 places.append(place)
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(states, pa.string()), pa.array(places, pa.string()), pa.array(words, pa.int64()), pa.array(grams, pa.list_(pa.int64()))], ["table_name", "record_id", "origin", "n_chars", "n_bytes", "state", "place", "word", "grams"])
 
-    rows = records.filter(F.col("record_id").isNotNull()).filter(F.btrim("text", F.lit(" \t\r\n ")) != "").select("table_name", F.col("record_id").cast("string").alias("record_id"), "origin", F.length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes"), F.substring("text", -TAIL, TAIL).alias("tail"))
+    text = F.rtrim("text", F.lit(_BLANKS))
+    last_line = F.when(F.instr(text, "\n") > 0, F.substring(F.ltrim(F.substring_index(text, "\n", -1), F.lit(_BLANKS)), 1, 32)).otherwise("")
+    rows = records.filter(F.col("record_id").isNotNull()).filter(F.btrim("text", F.lit(" \t\r\n ")) != "").select("table_name", F.col("record_id").cast("string").alias("record_id"), "origin", F.length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes"), F.substring(text, -TAIL, TAIL).alias("tail"), last_line.alias("line"))
     out = spread(rows).mapInArrow(read, "table_name string, record_id string, origin string, n_chars int, n_bytes int, state string, place string, word long, grams array<long>")
     return out.groupBy("table_name", "record_id").agg(F.max(F.struct("n_chars", "n_bytes", "origin", "state", "place", "word", "grams")).alias("x")).select("table_name", "record_id", "x.*")
 

@@ -100,3 +100,12 @@ def test_an_open_end_ends_no_sentence(value, ended):
     tally.add([*tally.tokens(value), *[T._END] * T.ORDERS[-1]])
     got = {h: (a, b) for hashes, seen, ends in tally.found for h, a, b in zip(hashes.tolist(), seen.tolist(), ends.tolist())}
     assert [got.get(h) for h in T.group_hashes(["aprobó", "el", "plan"])] == [None if ended is None else (1, ended)] * 3
+
+
+def test_blanks_and_long_rows_at_the_end(spark):
+    long = "municipio con acueducto y hogares " * 12
+    texts = {"blank": "La junta aprobó el plan vi" + " \n\t\u00a0" * 100, "row": f"Hogares:\n- Pozos: {long}12 hogares", "number": f"Hogares:\n 12. {long}12 hogares", "text": f"Hogares:\nPozos: {long}12 hogares", "one": f"- Pozos: {long}12 hogares", "closed": "La junta aprobó el plan." + " " * 400}
+    df = spark.createDataFrame([("t", k, "o", v) for k, v in texts.items()], "table_name string, record_id string, origin string, text string")
+    got = {r["record_id"]: (r["state"], r["place"], r["n_chars"]) for r in T.ends(df).collect()}
+    want = {"blank": ("open", "text"), "row": ("open", "row"), "number": ("open", "row"), "text": ("open", "text"), "one": ("open", "text"), "closed": ("closed", "text")}
+    assert got == {k: (*want[k], len(v)) for k, v in texts.items()}
