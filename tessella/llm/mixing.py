@@ -53,9 +53,9 @@ def allocation(counted: DataFrame, targets: DataFrame) -> DataFrame:
 def mix(counted: DataFrame, targets: DataFrame, seed: int = 1) -> DataFrame:
     """Documents of each plan with their uses: plan_name, source, doc_id, n_uses, n_tokens (of one use).
 
-    Each document of a source has its certain whole copies. The rest is a sample by Pareto order sampling: a document's
-    inclusion probability is rest / held, the same for each token of a source, and documents are taken in the order of
-    their random odds over their inclusion odds until the rest is reached, the last only if that comes nearer to it.
+    Each document of a source has its certain whole copies. The rest is a simple random sample: the inclusion
+    probability is rest / held for every document of a plan and source, so the order of random odds over inclusion odds
+    is that of the random numbers, and documents are taken in it until the rest is reached, the last only if that comes nearer to it.
     Random numbers are hashes of seed, plan and doc_id: a mix can be made again.
 
     A source may hold a third of all documents. Its order is cut into SLICES by the random number; sums of slices say
