@@ -123,8 +123,13 @@ def verdict_counts(annotations: DataFrame, *by: str) -> DataFrame:
     return annotations.groupBy(*by).agg(*(F.count_if(v == k).alias(f"n_{k}") for k in ("accept", "edit", "reject")))
 
 
-def review_queue(summaries: DataFrame, annotations: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """What people should look at: summaries of low confidence, and annotations that reject or are of high risk."""
+def review_queue(summaries: DataFrame, annotations: DataFrame, threshold: float = 0.85, risks: DataFrame | None = None) -> DataFrame:
+    """What people should look at: summaries of low confidence, annotations that reject or are of high risk, and entries
+    of high level of the risk register. `risks` has level, description and affected_sections, a list of ids."""
     low = summaries.filter(F.coalesce("confidence", F.lit(0.0)) < threshold).select(F.lit("low_confidence_summary").alias("kind"), F.col("summary_id").alias("item_id"), F.format_string("confidence %.3f", F.coalesce("confidence", F.lit(0.0))).alias("reason"))
     risky = annotations.filter("verdict = 'reject' or risk_level = 'high'").select(F.lit("high_risk_annotation").alias("kind"), F.col("section_id").alias("item_id"), F.concat_ws(" ", "verdict", "risk_level").alias("reason"))
-    return low.unionByName(risky, allowMissingColumns=True)
+    queue = low.unionByName(risky, allowMissingColumns=True)
+    if risks is None:
+        return queue
+    entries = risks.filter("level = 'high'").select(F.lit("high_risk_register_entry").alias("kind"), F.concat_ws(", ", "affected_sections").alias("item_id"), F.coalesce("description", F.lit("")).alias("reason"))
+    return queue.unionByName(entries)

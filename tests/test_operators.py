@@ -194,3 +194,14 @@ def test_asof_and_interval(spark):
     s = stamp(spark.createDataFrame([("a", 0, 100, "s1"), ("a", 90, 400, "s2"), ("a", 7, 7, "s3")], "k string, b int, e int, s string"), "b", "e")
     got = relational.interval_join(p, s, ["k"], "t", "b", "e", 60).select(F.unix_timestamp("t").alias("t"), "s")
     assert rows(got, "t", "s") == [(0, "s1"), (99, "s1"), (99, "s2"), (100, "s2")]
+
+
+def test_review_queue_unites_three_sources(spark):
+    from tessella.operators import quality
+
+    summaries = spark.createDataFrame([("s1", 0.5), ("s2", 0.9)], "summary_id string, confidence double")
+    annotations = spark.createDataFrame([("a1", "reject", "low"), ("a2", "accept", "low")], "section_id string, verdict string, risk_level string")
+    risks = spark.createDataFrame([("high", "no source", ["a2", "a3"]), ("high", None, None), ("low", "x", ["a1"]), (None, "y", [])], "level string, description string, affected_sections array<string>")
+    got = sorted(map(tuple, quality.review_queue(summaries, annotations, 0.85, risks).collect()))
+    assert got == [("high_risk_annotation", "a1", "reject low"), ("high_risk_register_entry", "", ""), ("high_risk_register_entry", "a2, a3", "no source"), ("low_confidence_summary", "s1", "confidence 0.500")]
+    assert quality.review_queue(summaries, annotations, 0.85).count() == 2
