@@ -1,26 +1,32 @@
 """Template residue, filler, error pages and notices instead of content (problem 8).
 
-Four models of character GRAM-grams in one hashed table of fixed size: natural prose, counted over the distinct sentences
-and lines of all texts, and filler, notices and template fields, from the phrases below. Log likelihood ratios against
-natural prose, averaged over windows, localise residue; a second round adds the distinct sentences that the first found in
-all texts to the filler and notice models, so that wordings beyond the phrases are learnt from the corpus. A sentence
-counts once however many rows repeat it: repetition makes nothing natural. A text is residue if a sentence or line of it is mostly
-covered by filler windows, if most of it is covered by notice windows, or if a window of the field model holds a field.
+Character GRAM-gram models in hashed tables of fixed size: natural prose, counted over the distinct sentences and lines of
+all texts, and Latin filler, other filler, notices and template fields, from the grammars of `phrases`. Log likelihood ratios against natural
+prose, averaged over windows, localise residue. Further rounds run over the distinct sentences: what is mostly covered by
+filler or notice windows is added to that model and taken out of natural prose, so that wordings beyond the grammars are
+learnt from the corpus. A sentence counts once however many rows repeat it: repetition makes nothing natural.
+
+A text is residue if a sentence or line of it is mostly covered by filler windows, if most of it is covered by notice
+windows, or if a window of the field model or a rare sign leads to a span that `fields.FieldModel`, a likelihood ratio over the classes of
+its signs and words, takes for a field.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.tables import spread
+from tessella.llm import phrases
+from tessella.llm.fields import FieldModel, fitted
+from tessella.tables import cut_lineage, spread
 
-#: Characters in a gram, and cells of the table that grams are hashed to: 2 MB, however large the corpus.
+#: Characters in a gram, and cells of the table that grams are hashed to: 4 MB in all, however large the corpus.
 GRAM, CELLS = 4, 1 << 18
 #: Grams in a window for filler and notices, and for fields.
 WINDOW, FIELD_WINDOW = 10, 6
@@ -28,81 +34,54 @@ WINDOW, FIELD_WINDOW = 10, 6
 RATIO = 0.4
 #: Share of a sentence or line under filler or notice windows, and share of a text in notice sentences, from which they count.
 COVER, PAGE = 0.6, 0.5
-#: Mean log likelihood ratio that a sentence or line of filler has as a whole.
-FILLER_RATIO = 1.0
-#: Stricter cover for what the first round teaches the second.
-TEACH = 0.75
+#: Mean log likelihood ratio that a sentence or line has as a whole, of Latin, other filler and notices.
+WHOLE = (0.4, 1.0, 0.6)
+#: Stricter cover for what one round teaches the next, and how many rounds teach.
+TEACH, ROUNDS = 0.75, 2
 #: Characters that are scored at once.
-BLOCK = 300_000
-
-FILLER_PHRASES = """
-Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua.
-Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat.
-Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur.
-Excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit anim id est laborum.
-Sinturum nimbor morsu novela altique gravitae vesque tremulo plectro abeo quosin carpit vorem orti murat pellandis dolibus fundis labent ansit.
-asdf qwer zzz xxx aaa bbb test prueba asdf test qwer xxx zzz prueba bbb aaa asdf asdf qwer qwer teste abc abc foo bar baz
-texto texto texto texto texto text text text text texto texto blah blah blah bla bla bla
-Este es un texto de ejemplo. Texto de relleno para revisar el diseño. Texto de muestra. Texto de prueba.
-Escriba aquí el contenido de la sección. Escriba aquí su texto. Aquí va la descripción. Aquí va el texto. Ingrese aquí el título.
-Haga clic para agregar un título. Haga clic para agregar texto. Haga clic aquí para editar. Segundo nivel de viñeta. Tercer nivel de viñeta.
-Reemplace este párrafo antes de publicar. Sustituya este texto. Párrafo de relleno. Contenido de ejemplo. Contenido pendiente.
-This is sample text. Dummy paragraph for layout checks. Dummy text. Sample text goes here. Placeholder text. Your text here.
-Click to add a title. Click to add text. Click here to edit. Second level bullet. Third level bullet. Type the section content here. Type here.
-Replace this paragraph before publishing. Insert your text here. Write your content here. Filler text for layout. The description goes here.
-Este é um texto de exemplo. Texto de preenchimento para revisar o desenho. Digite aqui o conteúdo da seção. Digite aqui.
-Clique para adicionar um título. Clique para adicionar texto. Substitua este parágrafo antes de publicar. Segundo nível de marcador. Aqui vai a descrição.
-"""
+BLOCK = 60_000
 
-NOTICE_PHRASES = """
-Error 404: página no encontrada. 404 Not Found. Página no encontrada. Page not found. Error 404: el recurso solicitado no existe. The requested resource does not exist.
-500 - Error interno del servidor. 500 Internal Server Error. Internal server error. 500 server error. Erro interno do servidor.
-HTTP 502: la pasarela no dio una respuesta válida. HTTP 502: the gateway gave no valid answer. 502 Bad Gateway. 504 Gateway Timeout.
-403 Prohibido. 403 Forbidden. Acceso denegado. Access denied. Acesso negado. No tiene permiso para ver esta página. You don't have permission to access this page.
-El servicio no está disponible en este momento. Servicio no disponible. 503 Service Unavailable. Service unavailable. Serviço indisponível no momento.
-Se agotó el tiempo de espera de la conexión. Tiempo de espera agotado. Request timed out. Connection timed out. A conexão expirou.
-No se pudo establecer conexión con la base de datos. Could not connect to the database. Error establishing a database connection. Não foi possível conectar ao banco de dados.
-Su sesión ha expirado, ingrese de nuevo. Your session has expired, sign in again. Sua sessão expirou, entre novamente.
-Demasiadas solicitudes, intente más tarde. Too many requests, try again later. Muitas solicitações, tente mais tarde.
-No fue posible cargar el documento. We couldn't load this document. Não foi possível carregar o documento. El archivo está dañado o no se puede abrir. The file is damaged or cannot be opened. Página não encontrada.
-Si el problema continúa, informe al administrador. If this goes on, tell the administrator. If the problem persists, contact the administrator. Se o problema continuar, avise o administrador.
-Verifique la dirección o vuelva al inicio. Check the address or go back to the start page. Verifique o endereço ou volte ao início. Volver a la página anterior. Go back. Voltar. Intente recargar. Try reloading. Tente recarregar.
-Código de referencia: d7b9a27f22. Reference code: 64b50e81c5. Código de referência: 64b50e81c5. Request id 64b50e81c5.
-Inicio | Trámites | Noticias | Contacto. Inicio | Mapas | Datos | Ayuda. Home | Services | News | Contact. Home | Maps | Data | Help. Início | Serviços | Notícias | Contato. Início | Mapas | Dados | Ajuda.
-Active JavaScript en su navegador para ver este contenido. Este visor necesita JavaScript para funcionar. Habilite JavaScript para continuar. Please enable JavaScript to view this page.
-Lo sentimos: esta aplicación no funciona sin JavaScript habilitado. Please turn on JavaScript to view this content. This app needs JavaScript in order to run. You need to enable JavaScript to run this app. We're sorry but this app doesn't work without JavaScript enabled.
-Su navegador tiene los scripts bloqueados. Habilítelos y recargue la página. Your browser is blocking scripts. Turn them on and reload the page. Para continuar, permita la ejecución de secuencias de comandos. To go on, allow scripts to run.
-Cargando… se requieren scripts. Loading... scripting must be enabled. Carregando… são necessários scripts. Este visor precisa de scripts habilitados. Ative o JavaScript para ver este conteúdo.
-Unhandled exception at line 12. Excepción no controlada. Traceback (most recent call last). java.lang.NullPointerException. java.util.Excepcion at visor.Inicio.correr(Inicio:12) at visor.Carga.abrir(Carga:8) at java.base/java.lang.Thread.run. Fatal error: uncaught exception.
-"""
+#: Code points with entries in the tables below: all below the ideographs; those above are letters to the models.
+_MOST = 0x3000
 
-#: Names that fields of forms have, for the field model.
-FIELD_NAMES = "municipio|nombre del municipio|vereda|nombre de la vereda|barrio|nombre del barrio|fecha|responsable|valor total|número de acta|numero de acta|nombre|dirección|teléfono|entidad|title|date|owner|name|district name|total value|minutes number|municipality|município|nome do bairro|data|valor total|responsável|número da ata"
-#: How fields are written; {} is the name. Also the forms of the exact check below.
-FIELD_FORMS = ("{{{{{}}}}}", "{{{{ {} }}}}", "${{{}}}", "[[{}]]", "%%{}%%", "@@{}@@", "$${}$$", "__{}__", "#{}#", "{{% {} %}}", "<<{}>>", "{{{}}}", "[{}]", "<insertar {}>", "«insertar {}»", "[insertar {}]", "(por completar: {})", "[por completar]", "<insert {}>", "«insert {}»", "[insert {}]", "(to be completed: {})", "[to be completed]", "<inserir {}>", "«inserir {}»", "[inserir {}]", "(a preencher: {})", "[a preencher]", "XX de XXXX de 20XX", "XX/XX/20XX", "XX XXXX 20XX")
-
-_NAME = r"[^\W\d_][\w ]{1,40}?"
-_CAPITALS = r"[A-ZÁÉÍÓÚÑÜÂÊÔÃÕÇÀ][A-ZÁÉÍÓÚÑÜÂÊÔÃÕÇÀ\d_ ]{2,40}"
-_TO_FILL = r"(?:insert[ae]?r?|inserir|por completar|a completar|completar|por definir|por diligenciar|diligenciar|to be completed|to be filled|to complete|fill in|enter|a preencher|preencher|escriba|indique|ingrese)"
-FIELD = re.compile(
-    rf"\{{\{{\s*{_NAME}\s*\}}\}}|\$\{{\s*{_NAME}\s*\}}|\[\[\s*{_NAME}\s*\]\]|%%\s*{_NAME}\s*%%|@@\s*{_NAME}\s*@@|\{{%\s*{_NAME}\s*%\}}"
-    rf"|\$\$\s*{_CAPITALS}\s*\$\$|__{_CAPITALS}__|#{_CAPITALS}#|<<\s*{_CAPITALS}\s*>>|(?<!\{{)\{{{_CAPITALS}\}}|(?<!\[)\[{_CAPITALS}\](?!\()"
-    rf"|[<«“\[(]\s*{_TO_FILL}\b[^<>«»“”\[\]()]{{0,50}}[>»”\])]"
-    r"|\bX{2,}\s+(?:de\s+)?X{3,}\s+(?:de\s+)?(?:20)?X{2,}\b|\bX{2,}/X{2,}/(?:20)?X{2,}\b"
-)
-_SEGMENT = re.compile(r"[^\s.!?…][^\n.!?…]*(?:[.!?…]+(?!\s)[^\n.!?…]*)*[.!?…]*")
-_STOPS = frozenset(".!?…:;")
-
-
-def _codes(text: str) -> np.ndarray:
-    """Code points without case of Latin letters, with one digit and one white space."""
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+
+def _flagged(*signs: str) -> np.ndarray:
+    out = np.zeros(_MOST + 1, np.uint8)
+    for bit, chars in enumerate(signs):
+        out[[ord(c) for c in chars]] |= 1 << bit
+    return out
+
+
+_SPACES = "".join(map(chr, range(33))) + "\xa0"
+#: What a character is: white space, the stop of a sentence, a line end, a sign that fields begin with, one that does if doubled, `:` or `;`.
+_SPACE, _STOP, _LINE, _OPEN, _TWICE, _COLON = (1 << k for k in range(6))
+_FLAGS = _flagged(_SPACES, ".!?…", "\n\r\0", "{[<«“#", "%@$_X", ":;")
+
+
+def _folded() -> np.ndarray:
+    c = np.arange(_MOST + 1, dtype=np.uint32)
     c[((c >= 65) & (c <= 90)) | ((c >= 0xC0) & (c <= 0xDE) & (c != 0xD7))] += 32
     c[(c >= 48) & (c <= 57)] = 48
     c[(c <= 32) | (c == 0xA0)] = 32
     return c
 
 
+_FOLDED = _folded()
+
+
+def _raw(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _fold(raw: np.ndarray) -> np.ndarray:
+    """Code points without case of Latin letters, with one digit and one white space."""
+    return np.where(raw < _MOST, _FOLDED[np.minimum(raw, _MOST)], raw)
+
+
+def _flags(raw: np.ndarray) -> np.ndarray:
+    return _FLAGS[np.minimum(raw, _MOST)]
+
+
 def _cells(codes: np.ndarray) -> np.ndarray:
     """The cell of the gram that begins at each position but the last GRAM - 1."""
     if len(codes) < GRAM:
@@ -126,66 +105,30 @@ def _blocks(texts: Iterator[str | None]) -> Iterator[list[str]]:
         yield block
 
 
-def _count(text: str) -> np.ndarray:
-    return np.bincount(_cells(_codes(text)), minlength=CELLS)
-
-
-def _plain(texts: list[str]) -> str:
-    """Texts end to end in the form of `_codes()`, but with their line ends, and GRAM - 1 line ends after each."""
-    whole = "".join(t + "\n" * (GRAM - 1) for t in texts)
-    codes = _codes(whole)
-    codes[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32) == 10] = 10
-    return codes.tobytes().decode("utf-32-le", "surrogatepass")
-
+def _segments(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where sentences and lines of texts end to end begin and end: a line ends at a line end or zero, a sentence at a stop
+    before white space. White space around them and stops before them are not part of them."""
+    space = (flags & _SPACE) > 0
+    after = np.append(space[1:], True)
+    cuts = np.flatnonzero(((flags & _LINE) > 0) | (((flags & _STOP) > 0) & after)) + 1
+    begin, end = np.concatenate([[0], cuts[:-1]]) if len(cuts) else np.empty(0, np.int64), cuts
+    solid, dark = np.flatnonzero((flags & (_SPACE | _STOP)) == 0), np.flatnonzero(~space)
+    if not len(solid):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    at = np.searchsorted(solid, begin)
+    begin = solid[np.minimum(at, len(solid) - 1)]
+    kept = (at < len(solid)) & (begin < end)
+    begin, end = begin[kept], end[kept]
+    return begin, dark[np.searchsorted(dark, end) - 1] + 1
 
-def _after(plain: str, at: int) -> int:
-    """The GRAM - 1 characters that follow a sentence, as a number."""
-    out = 0
-    for c in plain[at : at + GRAM - 1]:
-        out = out << 21 | ord(c)
-    return out
 
+def _signs(raw: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    """Where a sign stands that fields begin with and prose seldom has: brackets other than round ones, doubled signs, crosses."""
+    return ((flags & _OPEN) > 0) | (((flags & _TWICE) > 0) & np.append(raw[1:] == raw[:-1], False))
 
-def _distinct_counts(df: DataFrame, pieces, width: int) -> np.ndarray:
-    """Grams of the distinct sentences and lines that `pieces` gives for blocks of texts, as `width` x CELLS counts.
 
-    `pieces` yields (class, sentence, what follows it). Each sentence counts once for a class, with the grams that reach
-    over its ends: after white space, and with the least of what follows it anywhere.
-    """
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in _blocks(v.as_py() for v in batch.column(0)):
-                least: dict[tuple[int, str], int] = {}
-                for k, piece, after in pieces(block):
-                    if after < least.get((k, piece), 1 << 63):
-                        least[k, piece] = after
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in least], pa.int32()), pa.array([p for _, p in least], pa.string()), pa.array(list(least.values()), pa.int64())], ["k", "piece", "after"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((width, CELLS), np.int64)
-        for batch in batches:
-            classes, said, afters = (c.to_pylist() for c in batch.columns)
-            lines = [" " + p + "".join(chr(a >> shift & 0x1FFFFF) for shift in range(21 * (GRAM - 2), -1, -21)) for p, a in zip(said, afters)]
-            sizes = np.array([len(x) for x in lines], np.int64)
-            blocks = np.flatnonzero(np.diff(np.cumsum(sizes) // BLOCK, prepend=-1)).tolist()
-            for lo, hi in zip(blocks, [*blocks[1:], len(lines)]):
-                cells, n = _cells(_codes("".join(lines[lo:hi]))), sizes[lo:hi]
-                inside = np.ones(int(n.sum()), bool)
-                inside[(np.cumsum(n)[:, None] - 1 - np.arange(GRAM - 1)).ravel()] = False
-                inside, of = inside[: len(cells)], np.repeat(classes[lo:hi], n)[: len(cells)]
-                for k in range(width):
-                    total[k] += np.bincount(cells[inside & (of == k)], minlength=CELLS)
-        flat = total.reshape(-1)
-        cells = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(flat[cells])], ["cell", "n"])
-
-    texts = df.select("text").filter(F.col("text").isNotNull())
-    distinct = texts.mapInArrow(split, "k int, piece string, after long").groupBy("k", "piece").agg(F.min("after").alias("after"))
-    rows = distinct.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(width * CELLS, np.int64)
-    out[rows["cell"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return out.reshape(width, CELLS)
+def _count(text: str) -> np.ndarray:
+    return np.bincount(_cells(_fold(_raw(text))), minlength=CELLS)
 
 
 def _ratio(own: np.ndarray, natural: np.ndarray) -> np.ndarray:
@@ -196,10 +139,8 @@ def _ratio(own: np.ndarray, natural: np.ndarray) -> np.ndarray:
 
 
 def phrase_counts() -> np.ndarray:
-    """Counts of the three classes, filler, notices and fields, from the phrases of this module."""
-    names = FIELD_NAMES.split("|")
-    fields = " ".join(form.format(name) for form in FIELD_FORMS for name in (*names, *(n.upper() for n in names), *(n.upper().replace(" ", "_") for n in names)))
-    return np.stack([_count(FILLER_PHRASES), _count(NOTICE_PHRASES), _count(fields)]).astype(np.float64)
+    """Counts of the classes, Latin, other filler, notices and fields, from the grammars of `phrases`."""
+    return np.stack([_count(phrases.latin_text()), _count(phrases.filler_text()), _count(phrases.notice_text()), _count(" ".join(phrases.fields()))]).astype(np.float64)
 
 
 def _covered(scores: np.ndarray, window: int) -> np.ndarray:
@@ -208,7 +149,7 @@ def _covered(scores: np.ndarray, window: int) -> np.ndarray:
     window = min(window, n)
     if n == 0:
         return np.zeros(0, bool)
-    total = np.concatenate([[0.0], np.cumsum(scores, dtype=np.float64)])
+    total = _sums(scores)
     at = np.flatnonzero((total[window:] - total[:-window]) >= RATIO * window)
     marks = np.bincount(at, minlength=n + 1)[: n + 1] - np.bincount(at + window, minlength=n + 1)[: n + 1]
     return np.cumsum(marks[:-1]) > 0
@@ -218,109 +159,177 @@ def _sums(x: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(x, dtype=np.float64)])
 
 
-class Scorer:
-    """Scores texts by the ratio tables of filler, notices and fields, many texts in one pass over arrays."""
+@dataclass
+class Model:
+    """What fit() gives: ratio tables of the classes by cell, and the weights of features of fields."""
 
-    def __init__(self, tables: np.ndarray):
-        self.tables = tables
+    tables: np.ndarray
+    fields: dict[str, float]
 
-    def block(self, texts: list[str]) -> Iterator[tuple[list[tuple[int, int, float, float]], bool]]:
-        """For each text its sentences and lines as (begin, end, filler cover, notice cover), and whether it has a field.
 
-        Texts are laid end to end; grams that reach over the end of a text never lie in a covered window.
-        """
+class Scorer:
+    """Scores texts by the ratio tables of the classes, many texts in one pass over arrays."""
+
+    def __init__(self, model: Model):
+        self.tables, self.fields = model.tables, FieldModel(model.fields)
+
+    def block(self, texts: list[str], fields: bool = True):
+        """Arrays over the sentences and lines of texts: owner, begin, end, cover by class, whether a stop ends it; and the
+        texts that have a field. Texts are laid end to end; grams over the end of one lie in no covered window."""
         whole = "\0".join(texts) + "\0" * GRAM
-        cells = _cells(_codes(whole))
-        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        scores = [table[cells] for table in self.tables]
+        raw = _raw(whole)
+        flags = _flags(raw)
+        cells = _cells(_fold(raw))
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        starts = np.concatenate([[0], np.cumsum(sizes + 1)])
         over = (starts[1:, None] - 1 - np.arange(GRAM)).ravel()
         over = over[(over >= 0) & (over < len(cells))]
-        filler = _sums(scores[0])
+        scores = [table[cells] for table in (self.tables if fields else self.tables[:-1])]
+        totals = [_sums(s) for s in scores[: len(WHOLE)]]
         for s in scores:
             s[over] = -1e4
-        covers = [_sums(_covered(scores[k], WINDOW)) for k in (0, 1)]
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], _covered(scores[2], FIELD_WINDOW).astype(np.int8), [0]])))
-        owners = np.searchsorted(starts, edges[::2], "right") - 1
-        spots: dict[int, list[tuple[int, int]]] = {}
-        for owner, a, b in zip(owners.tolist(), edges[::2].tolist(), edges[1::2].tolist()):
-            spots.setdefault(owner, []).append((a - int(starts[owner]), b - int(starts[owner])))
-        for k, text in enumerate(texts):
-            spans = [m.span() for m in _SEGMENT.finditer(text)]
-            segments = []
-            if spans:
-                begin = np.array([a for a, _ in spans]) + starts[k]
-                end = np.minimum(np.array([b for _, b in spans]) - GRAM + 1, len(text) - GRAM + 1) + starts[k]
-                n = np.maximum(end - begin, 0)
-                end = begin + n
-                size = np.maximum(n, 1)
-                f = np.where(filler[end] - filler[begin] >= FILLER_RATIO * size, (covers[0][end] - covers[0][begin]) / size, 0.0)
-                c = (covers[1][end] - covers[1][begin]) / size
-                segments = [(a, b, x, y) for (a, b), m, x, y in zip(spans, n.tolist(), f.tolist(), c.tolist()) if m > 0]
-            field = any(FIELD.search(text, max(0, a - 48), min(len(text), b + 52)) for a, b in spots.get(k, ()))
-            yield segments, field
-
-    def judge(self, texts: list[str]) -> Iterator[tuple[bool, bool, bool]]:
+        covers = [_sums(_covered(s, WINDOW)) for s in scores[: len(WHOLE)]]
+        begin, end = _segments(flags)
+        owner = np.searchsorted(starts, begin, "right") - 1
+        n = np.maximum(end - GRAM + 1 - begin, 0)
+        kept = n > 0
+        owner, begin, end, n = owner[kept], begin[kept], end[kept], n[kept]
+        to = begin + n
+        shares = np.stack([np.where(t[to] - t[begin] >= least * n, (cover[to] - cover[begin]) / n, 0.0) for t, cover, least in zip(totals, covers, WHOLE)])
+        with_field: set[int] = set()
+        if fields:
+            near = _covered(scores[-1], FIELD_WINDOW)
+            near |= _signs(raw, flags)[: len(near)]
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], near.astype(np.int8), [0]])))
+            owners = np.searchsorted(starts, edges[::2], "right") - 1
+            for k, a, b in zip(owners.tolist(), edges[::2].tolist(), edges[1::2].tolist()):
+                if k not in with_field and self.fields.in_window(whole, int(starts[k]), int(starts[k] + sizes[k]), a, b + 1):
+                    with_field.add(k)
+        return (owner, begin, end, shares, (flags[end - 1] & (_STOP | _COLON)) > 0), with_field
+
+    def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each text whether it has a filler passage, is a notice page, has a template field."""
-        for text, (segments, field) in zip(texts, self.block(texts)):
-            filler = any(f >= COVER and b - a >= 8 for a, b, f, _ in segments)
-            notice = sum(b - a for a, b, _, n in segments if n >= COVER)
-            yield filler, bool(notice) and notice >= PAGE * _body(text, segments, COVER), field
-
+        (owner, begin, end, shares, stopped), with_field = self.block(texts)
+        f, c = shares[:-1].max(0), shares[-1]
+        many, size = len(texts), end - begin
+        by_text = lambda where: np.bincount(owner[where], size[where], many)
+        filler = by_text((f >= COVER) & (size >= 8)) > 0
+        notice = by_text(c >= COVER)
+        # Headings do not count: of a page only notice sentences and what ends as a sentence.
+        page = (notice > 0) & (notice >= PAGE * by_text((c >= COVER) | stopped))
+        field = np.zeros(many, bool)
+        field[list(with_field)] = True
+        return filler, page, field
+
+
+def sentences(df: DataFrame) -> DataFrame:
+    """The distinct sentences and lines of column text, without case, one digit for all: column piece."""
 
-def _body(text: str, segments: list[tuple[int, int, float, float]], cover: float) -> int:
-    """Characters of a text in notice sentences and in sentences that end as such; headings do not count."""
-    return sum(b - a for a, b, _, n in segments if n >= cover or text[a:b].rstrip()[-1:] in _STOPS)
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in _blocks(v.as_py() for v in batch.column(0)):
+                raw = _raw("\0".join(block) + "\0")
+                begin, end = _segments(_flags(raw))
+                plain = _fold(raw).tobytes().decode("utf-32-le", "surrogatepass")
+                yield pa.RecordBatch.from_arrays([pa.array(dict.fromkeys(plain[a:b] for a, b in zip(begin.tolist(), end.tolist())), pa.string())], ["piece"])
 
+    return df.select("text").filter(F.col("text").isNotNull()).mapInArrow(split, "piece string").distinct()
 
-def fit(df: DataFrame) -> np.ndarray:
-    """Ratio tables of filler, notices and fields against the natural prose of all texts of `df`."""
 
-    def every(block: list[str]) -> Iterator[tuple[int, str, int]]:
-        plain = _plain(block)
-        for m in _SEGMENT.finditer(plain):
-            yield 0, m.group(), _after(plain, m.end())
+def _counts(pieces: DataFrame, classes, width: int) -> np.ndarray:
+    """Grams of sentences as `width` x CELLS counts; `classes` gives the class of each sentence of a block, -1 for none."""
 
-    natural = _distinct_counts(df, every, 1)[0]
-    own = phrase_counts()
-    first = df.sparkSession.sparkContext.broadcast(np.stack([_ratio(x, natural) for x in own]))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, CELLS), np.int64)
+        for batch in batches:
+            for block in _blocks(v.as_py() for v in batch.column(0)):
+                of = classes(block)
+                for k in range(width):
+                    own = [p for p, x in zip(block, of) if x == k]
+                    if own:
+                        # Each with a blank on both sides; the grams that reach into the next one are not counted.
+                        lines = [f" {p} " for p in own]
+                        cells = _cells(_fold(_raw("".join(lines))))
+                        inside = np.ones(sum(map(len, lines)), bool)
+                        inside[(np.cumsum([len(x) for x in lines])[:, None] - 1 - np.arange(GRAM - 1)).ravel()] = False
+                        total[k] += np.bincount(cells[inside[: len(cells)]], minlength=CELLS)
+        flat = total.reshape(-1)
+        cells = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(flat[cells])], ["cell", "n"])
 
-    def teach(block: list[str]) -> Iterator[tuple[int, str, int]]:
-        scorer = Scorer(first.value)
-        for text, (segments, _) in zip(block, scorer.block(block)):
-            page = sum(b - a for a, b, _, n in segments if n >= TEACH) >= PAGE * _body(text, segments, TEACH)
-            found = [(0 if f >= TEACH and f >= n else 1, a, b) for a, b, f, n in segments if (f >= TEACH and f >= n) or (n >= TEACH and page)]
-            plain = _plain([text]) if found else ""
-            for k, a, b in found:
-                yield k, plain[a:b], _after(plain, b)
+    rows = pieces.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(width * CELLS, np.int64)
+    out[rows["cell"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    return out.reshape(width, CELLS)
 
-    learnt = _distinct_counts(df, teach, 2)
-    for k in (0, 1):
-        if learnt[k].sum():
-            own[k] = own[k] / own[k].sum() + learnt[k] / learnt[k].sum()
-            own[k] *= phrase_counts()[k].sum()
-    return np.stack([_ratio(x, natural) for x in own])
 
+def fit(df: DataFrame) -> Model:
+    """The model against the natural prose of column text of `df`.
 
-def residue(df: DataFrame, key: str, text: str) -> DataFrame:
+    The texts are read once; the rounds run over their distinct sentences. What comes to the driver are tables of CELLS.
+    """
+    pieces = cut_lineage(sentences(df))
+    every = _counts(pieces, lambda block: [0] * len(block), 1)[0].astype(np.float64)
+    first = phrase_counts()
+    tables = np.stack([_ratio(x, every) for x in first])
+    for _ in range(ROUNDS):
+        shared = df.sparkSession.sparkContext.broadcast(Model(tables, {}))
+
+        def classes(block: list[str], shared=shared) -> list[int]:
+            (owner, _, _, shares, _), _ = Scorer(shared.value).block(block, fields=False)
+            of = np.full(len(block), -1)
+            taught = shares.max(0) >= TEACH
+            of[owner[taught]] = shares.argmax(0)[taught]
+            return of.tolist()
+
+        learnt = _counts(pieces, classes, len(WHOLE))
+        natural = np.maximum(every - learnt.sum(0), 0)
+        own = first.copy()
+        for k in range(len(WHOLE)):
+            if learnt[k].sum():
+                own[k] = (first[k] / first[k].sum() + learnt[k] / learnt[k].sum()) * first[k].sum()
+        tables = np.stack([_ratio(x, natural) for x in own])
+    return Model(tables, fitted())
+
+
+def save_model(spark: SparkSession, model: Model, path: str) -> None:
+    """Writes what fit() gave, to judge later texts by it."""
+    kinds, cells = np.indices(model.tables.shape)
+    grams = spark.createDataFrame(pd.DataFrame({"kind": kinds.ravel().astype(np.int32), "cell": cells.ravel().astype(np.int32), "ratio": model.tables.ravel(), "feature": None}), "kind int, cell int, ratio double, feature string")
+    weights = spark.createDataFrame([(-1, None, float(w), f) for f, w in model.fields.items()], grams.schema)
+    grams.unionByName(weights).repartition(1).write.mode("overwrite").parquet(path)
+
+
+def load_model(spark: SparkSession, path: str) -> Model:
+    """What save_model() wrote."""
+    rows = spark.read.parquet(path).toPandas()
+    grams, weights = rows[rows["kind"] >= 0], rows[rows["kind"] < 0]
+    tables = np.zeros((grams["kind"].max() + 1, CELLS), np.float32)
+    tables[grams["kind"], grams["cell"].astype(int)] = grams["ratio"]
+    return Model(tables, dict(zip(weights["feature"], weights["ratio"])))
+
+
+def residue(df: DataFrame, key: str, text: str, model: Model | None = None) -> DataFrame:
     """`key` with has_filler, is_notice, has_field and is_residue, one row for each row of `df`.
 
-    Null, empty and blank texts are no residue. Texts are scored whole. Repeated rows stay; extra columns are left out.
+    `model` comes from fit(); without one it is fitted to `df` now. Null, empty and blank texts are no residue. Texts
+    are scored whole. Repeated rows stay; extra columns are left out.
     """
     texts = spread(df.select(F.col(key).alias(key), F.col(text).alias("text")))
-    tables = df.sparkSession.sparkContext.broadcast(fit(texts))
+    shared = df.sparkSession.sparkContext.broadcast(model or fit(texts))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(tables.value)
+        scorer = Scorer(shared.value)
         for batch in batches:
-            rows = [r for block in _blocks(v.as_py() for v in batch.column(1)) for r in scorer.judge(block)]
-            columns = [pa.array([r[k] for r in rows], pa.bool_()) for k in range(3)]
+            parts = [scorer.judge(block) for block in _blocks(v.as_py() for v in batch.column(1))]
+            columns = [pa.array(np.concatenate([p[k] for p in parts]) if parts else [], pa.bool_()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [key, "has_filler", "is_notice", "has_field"])
 
     schema = f"`{key}` {df.schema[key].dataType.simpleString()}, has_filler boolean, is_notice boolean, has_field boolean"
     return texts.mapInArrow(judge, schema).withColumn("is_residue", F.col("has_filler") | F.col("is_notice") | F.col("has_field"))
 
 
-def without_residue(df: DataFrame, key: str, text: str) -> DataFrame:
+def without_residue(df: DataFrame, key: str, text: str, model: Model | None = None) -> DataFrame:
     """The rows of `df`, all columns, that are no residue. Rows with a null key are judged by nothing and stay."""
-    bad = residue(df, key, text).filter("is_residue").select(F.col(key).alias("residue_key")).distinct()
+    bad = residue(df, key, text, model).filter("is_residue").select(F.col(key).alias("residue_key")).distinct()
     return df.join(bad, df[key] == bad["residue_key"], "left_anti")

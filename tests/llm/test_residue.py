@@ -1,9 +1,12 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessella.llm import phrases
 from tessella.llm import residue as R
+from tessella.llm.fields import FieldModel, fitted
 
 AGENTS = ["La mesa técnica", "El Concejo", "La Secretaría de Ambiente", "La empresa de acueducto"]
 ACTS = ["aprobó el estudio de suelos en la zona costera", "revisó la ruta escolar de la vereda alta", "amplió la red de acueducto durante 2019", "declaró que el riesgo se considera moderado"]
@@ -12,11 +15,13 @@ TRAPS = [
     "El código del visor se escribe {{capa:rondas}} cuando la capa está vigente.", "La leyenda usa <<alto riesgo>> y <<riesgo medio>> como categorías.", "El conjunto de usos {residencial, comercial, mixto} no cambia.", "Véase el anexo [3] y la nota [sic] del plano.",
     "El texto de ejemplo de la cartilla explica cómo leer un plano de usos.", "__Nota:__ los valores son provisionales y @@ no forma parte del código.", "&lt;p&gt; y <|endoftext|> quedaron en el texto.", "El acceso denegado a la servidumbre generó una queja vecinal.", "EducaciÃ³n y dÃ­as con caracteres daÃ±ados.",
 ]
-BAD = [
-    "Elaborado por {{municipio}} en la fecha indicada.", "Responsable: [NOMBRE DEL BARRIO]", "Fecha de aprobación: XX de XXXX de 20XX", "El costo es de %%VALOR_TOTAL%%.", "Se notifica a <insertar responsable> la decisión.", "This report covers [to be completed].", "Vea ${fecha} y __RESPONSABLE__.",
-    "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor.", "Este es un texto de ejemplo.", "Haga clic para agregar un título.", "asdf qwer zzz test xxx aaa bbb prueba zzz",
-]
-PAGES = ["Error 404: página no encontrada", "Acceso denegado\nVerifique la dirección o vuelva al inicio.", "HTTP 502: the gateway gave no valid answer Go back", "Active JavaScript en su navegador para ver este contenido.", "Gestión del riesgo en Alto Queno\nEste visor necesita JavaScript para funcionar."]
+#: Wordings that no grammar of the package gives.
+FIELDS = ["Elaborado por {{departamento}} en la fecha indicada.", "Responsable: [NOMBRE DE LA CUENCA]", "Firmado el XX de XXXX de 20XX en la sede", "El costo es de %%COSTO_FINAL%%.", "Se notifica a <insertar destinatario> la decisión.", "This report covers [to be completed].", "Vea ${plazo} y __SUPERVISOR__.",
+    "Anexo (por completar: " + "la relación de los predios afectados por la obra y de sus propietarios " * 3 + "en orden)", "O custo é de {{ custo_final }}.", "Sede: #BARRIO_NUEVO#", "Zona [[nombre de la zona]] del plan", "Corte al XX/XX/20XX"]
+FILLER = ["Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor.", "Este es un párrafo de muestra.", "Haga clic para modificar el título.", "asdf asdf qwer zxcv asdf fghj", "Your text goes here.", "texto texto texto texto texto texto", "Insert your subtitle here."]
+PAGES = ["Error 404: la página solicitada no existe", "Acceso denegado\nRevise el enlace y regrese a la portada.", "HTTP 502 Bad Gateway. Please try again later.", "Active JavaScript en su navegador para usar este mapa.", "Gestión del riesgo en Alto Queno\nEste portal necesita JavaScript para funcionar.",
+    "The server is temporarily overloaded. Try again in a few minutes.", "Não foi possível carregar a página. Tente novamente mais tarde.", "Your session has expired. Please log in again."]
+BAD = [*FIELDS, *FILLER]
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +29,7 @@ def judged(spark):
     rng = random.Random(1)
     body = lambda: " ".join(f"{rng.choice(AGENTS)} {rng.choice(ACTS)}." for _ in range(rng.randrange(2, 7)))
     texts = [(body(), False) for _ in range(300)] + [(f"{body()} {x} {body()}", False) for x in TRAPS for _ in range(3)] + [(f"{body()}\n{x}\n{body()}", True) for x in BAD] + [(x, True) for x in (*BAD, *PAGES)]
-    texts += [(None, False), ("", False), (" \n ", False), ("ab", False), (body() * 2000, False), (body() * 1000 + " {{municipio}} " + body() * 1000, True)]
+    texts += [(None, False), ("", False), (" \n ", False), ("ab", False), (body() * 2000, False), (body() * 1000 + " {{departamento}} " + body() * 1000, True)]
     df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "doc_id long, text string").withColumn("cell", F.lit(1)).withColumn("is_residue", F.lit("clash"))
     return df, texts, {r["doc_id"]: r for r in R.residue(df, "doc_id", "text").collect()}
 
@@ -35,6 +40,33 @@ def test_residue(judged):
     assert wrong == [] and len(got) == len(texts)
 
 
+def test_kinds_are_told_apart(judged):
+    _, texts, got = judged
+    at = {t: got[k] for k, (t, _) in enumerate(texts)}
+    assert all(at[x]["has_field"] for x in FIELDS) and all(at[x]["has_filler"] for x in FILLER) and all(at[x]["is_notice"] for x in PAGES)
+
+
+def test_no_grammar_gives_the_wordings_of_these_tests():
+    given = {s.lower() for g in (*phrases.FILLER, *phrases.NOTICES) for s in phrases.combinations(g)}
+    assert not given & {x.lower().rstrip(".") for x in (*FILLER, *PAGES)} and not {f for f in phrases.fields() if any(f in x and len(f) > 8 and f not in phrases.BLANKS and "to be completed" not in f for x in FIELDS)}
+
+
+def test_fields_of_any_length_and_what_is_none():
+    m = FieldModel(fitted())
+    for n in (1, 10, 200):
+        assert m.score("(por completar: " + " ".join(["dato"] * n) + ")") > 0 and m.score("[NOMBRE" + " LARGO" * n + "]") > 0
+    for no in ("{% de avance}", "{{capa:rondas}}", "[INST]", "<|user|>", "<p>", "(por ejemplo, agua)", "siglo XX", "[12]", "«Plan de Agua»", '{"k": 1}', "", "[]"):
+        assert m.score(no) < 0
+
+
+def test_a_saved_model_judges_alike(spark, judged, tmp_path):
+    df, _, got = judged
+    model = R.fit(df.select("text"))
+    R.save_model(spark, model, str(tmp_path / "model"))
+    again = {r["doc_id"]: r for r in R.residue(df, "doc_id", "text", R.load_model(spark, str(tmp_path / "model"))).collect()}
+    assert again == got
+
+
 def test_clean_corpus_keeps_columns(judged):
     df, texts, got = judged
     clean = R.without_residue(df, "doc_id", "text")
@@ -47,13 +79,11 @@ def test_empty_table(spark):
 
 
 def test_scores_do_not_depend_on_neighbours(judged):
-    import numpy as np
-
     counts = R.phrase_counts()
-    scorer = R.Scorer(np.stack([R._ratio(x, np.ones(R.CELLS)) for x in counts]))
+    scorer = R.Scorer(R.Model(np.stack([R._ratio(x, np.ones(R.CELLS)) for x in counts]), fitted()))
     texts = ["Este es un texto de ejemplo.", "", "x", "La mesa técnica revisó la ruta.", "Acceso denegado"]
-    together = list(scorer.judge(texts))
-    assert together == [next(scorer.judge([t])) for t in texts]
+    together = np.stack(scorer.judge(texts)).T.tolist()
+    assert together == [np.stack(scorer.judge([t]))[:, 0].tolist() for t in texts]
 
 
 @pytest.mark.parametrize("line, around", [("Este es un texto de ejemplo.", ""), ("Este es un texto de ejemplo.", "La mesa técnica revisó la ruta escolar."), ("Error 404: página no encontrada", "")])
