@@ -16,9 +16,9 @@ TRAPS = [
     "El texto de ejemplo de la cartilla explica cómo leer un plano de usos.", "__Nota:__ los valores son provisionales y @@ no forma parte del código.", "&lt;p&gt; y <|endoftext|> quedaron en el texto.", "El acceso denegado a la servidumbre generó una queja vecinal.", "EducaciÃ³n y dÃ­as con caracteres daÃ±ados.",
 ]
 #: Wordings that no grammar of the package gives.
-FIELDS = ["Elaborado por {{departamento}} en la fecha indicada.", "Responsable: [NOMBRE DE LA CUENCA]", "Firmado el XX de XXXX de 20XX en la sede", "El costo es de %%COSTO_FINAL%%.", "Se notifica a <insertar destinatario> la decisión.", "This report covers [to be completed].", "Vea ${plazo} y __SUPERVISOR__.",
+FIELDS = ["Elaborado por {{cuenca_alta}} en la fecha indicada.", "Responsable: [NOMBRE DE LA CUENCA]", "Firmado el XX de XXXX de 20XX en la sede", "El costo es de %%COSTO_FINAL%%.", "Se notifica a <insertar destinatario> la decisión.", "This report covers [to be completed].", "Vea ${plazo} y __SUPERVISOR__.",
     "Anexo (por completar: " + "la relación de los predios afectados por la obra y de sus propietarios " * 3 + "en orden)", "O custo é de {{ custo_final }}.", "Sede: #BARRIO_NUEVO#", "Zona [[nombre de la zona]] del plan", "Corte al XX/XX/20XX"]
-FILLER = ["Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor.", "Este es un párrafo de muestra.", "Haga clic para modificar el título.", "asdf asdf qwer zxcv asdf fghj", "Your text goes here.", "texto texto texto texto texto texto", "Insert your subtitle here."]
+FILLER = ["Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor.", "Este es un párrafo de muestra.", "Pulse dos veces para modificar el título del recuadro.", "asdf asdf qwer zxcv asdf fghj", "Your own text will stand here.", "texto texto texto texto texto texto", "Insert your subtitle here."]
 PAGES = ["Error 404: la página solicitada no existe", "Acceso denegado\nRevise el enlace y regrese a la portada.", "HTTP 502 Bad Gateway. Please try again later.", "Active JavaScript en su navegador para usar este mapa.", "Gestión del riesgo en Alto Queno\nEste portal necesita JavaScript para funcionar.",
     "The server is temporarily overloaded. Try again in a few minutes.", "Não foi possível carregar a página. Tente novamente mais tarde.", "Your session has expired. Please log in again."]
 BAD = [*FIELDS, *FILLER]
@@ -29,7 +29,7 @@ def judged(spark):
     rng = random.Random(1)
     body = lambda: " ".join(f"{rng.choice(AGENTS)} {rng.choice(ACTS)}." for _ in range(rng.randrange(2, 7)))
     texts = [(body(), False) for _ in range(300)] + [(f"{body()} {x} {body()}", False) for x in TRAPS for _ in range(3)] + [(f"{body()}\n{x}\n{body()}", True) for x in BAD] + [(x, True) for x in (*BAD, *PAGES)]
-    texts += [(None, False), ("", False), (" \n ", False), ("ab", False), (body() * 2000, False), (body() * 1000 + " {{departamento}} " + body() * 1000, True)]
+    texts += [(None, False), ("", False), (" \n ", False), ("ab", False), (body() * 400, False), (body() * 200 + " {{cuenca_alta}} " + body() * 200, True)]
     df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "doc_id long, text string").withColumn("cell", F.lit(1)).withColumn("is_residue", F.lit("clash"))
     return df, texts, {r["doc_id"]: r for r in R.residue(df, "doc_id", "text").collect()}
 
