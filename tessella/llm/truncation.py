@@ -2,18 +2,20 @@
 
 Evidence that a text lost its end, all of it from the corpus itself:
 
-* a trie of the corpus vocabulary: the last word is unknown but a proper prefix of known words;
-* how texts go on: after the last words of the text, sentences of the corpus end or go on, by counts of groups of up to
-  six words; and a mark of a cut, like `[...]`, a hyphen or a broken character, at the end;
-* lengths: texts of the same origin with open ends pile up at one length, in characters or in bytes.
-
-The counts cover every text. What leaves a task is filtered by a bitmap of fixed size that says which prefixes and word
-groups any open end asks for, so that the shuffle follows the open ends and not the vocabulary; the bitmap only saves
+* a trie of the corpus vocabulary, by letters: the last word is unknown, or next to unknown, but a proper prefix of known
+  words; and by words: its last words are a path that the corpus goes on from, of up to six words, but next to never ends
+  at. By letters it sees cuts within words, by words those between them;
+* lengths: texts of the same origin with open ends pile up at some lengths, in characters or in bytes;
+* a mark of a cut, like `[...]`, a hyphen or a broken character, at the end.
+
+The counts cover every text. What leaves a task is filtered by a bitmap, sized by the open ends, that says which nodes of
+the trie any open end asks for, so that the shuffle follows the open ends and not the vocabulary; the bitmap only saves
 work, as the join after it is exact.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.tables import cut_lineage, spread
@@ -32,16 +34,21 @@ ORDERS = (1, 2, 3, 4, 6)
 SEEN = 4
 #: With an end at a limit, only sentences that nearly always end here are taken as whole; without, those that end at times.
 ENDS_AT_LIMIT, ENDS_ELSEWHERE = 0.98, 0.03
-#: Characters from the end of a text that its last words are read from: more than the largest group and a mark. The texts
-#: themselves are counted whole.
-TAIL = 200
-#: Bits of the bitmap, and the most different words that a task counts before it sends its counts on.
-BITS, MOST = 1 << 23, 400_000
+#: Words from the end of a text that its last forms are read from: six, and names, which count as one form each.
+WORDS = 48
+#: A last word is unknown if it occurs less than once for so many occurrences of longer words: at any size some text holds it.
+RARE = 1000
+#: Open ends pile up at a length that half of its texts end openly at, and so many of them with different last words that
+#: chance, at the rate of the lengths within AROUND, would make such a pile at any of the origin's lengths in CHANCE of cases.
+CHANCE, AROUND = 1e-3, 25
+#: Bits of the bitmap for each hash asked for, their bounds as powers of two (2^27 is 16 MB), and the most different
+#: words that a task counts before it sends its counts on.
+BITS_EACH, FEWEST_BITS, MOST_BITS, MOST = 16, 16, 27, 400_000
 
 #: White space in Python, for what is cut off before a tail is taken.
 _BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _UPPER = "A-ZÁÉÍÓÚÑÜÂÊÔÃÕÇÀÖÄ"
-_NAME = re.compile(rf"(?<=[\w,;:%)»”] )[{_UPPER}]\w*(?: (?:de la |de los |del |de |da |do )?[{_UPPER}]\w*)*")
+_NAME = re.compile(rf" (?<=[\w,;:%)»”] )[{_UPPER}]\w*(?: (?:de la |de los |del |de |da |do )?[{_UPPER}]\w*)*")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|\n|[^\w\s]")
 _WORD = re.compile(r"[^\W\d_]+")
 _STOPS = {".", "!", "?", "…", "\n"}
@@ -127,9 +134,9 @@ def forms(text: str, names: list[str] | None = None) -> list[str]:
     if "\r" in text:
         text = text.replace("\r\n", "\n").replace("\r", "\n")
     if names is None:
-        text = _NAME.sub("N", text)
+        text = _NAME.sub(" N", text)
     else:
-        text = _NAME.sub(lambda m: names.append(m.group()) or "N", text)
+        text = _NAME.sub(lambda m: names.append(m.group()[1:]) or " N", text)
     return list(map(_FORMS.__getitem__, _TOKEN.findall(text)))
 
 
@@ -138,24 +145,24 @@ def _word_hash(word: str) -> int:
 
 
 def read_end(tail: str, line: str = "") -> tuple[str, str | None, list[str], str]:
-    """What the end of a text (its last TAIL characters) is: a state, its last word, its last forms, and a place.
+    """What the end of a text (its last WORDS words) is: a state, its last word, its last forms, and a place.
 
     `line` is how the last line begins, if it begins before the tail.
 
     States: `mark` (a mark that only cuts leave), `dots`, `open`, `stop` (a full stop that may belong to a number or an abbreviation), `closed`.
     Places: `row` (of a list or table), `name` (the last word is part of one), `text`.
     """
-    state, tail = "open", tail.rstrip()
-    end, last = tail[-16:], tail[-1:]
-    if (last in "])>�" and _MARK.search(end)) or (last in "-‐‑" and _HYPHEN.search(end)):
+    state, tail, is_part = "open", tail.rstrip(), tail.count(" ") >= WORDS - 1
+    last = tail[-1:]
+    if (last in "])>�" and _MARK.search(tail)) or (last in "-‐‑" and _HYPHEN.search(tail[-2:])):
         return "mark", None, [], "text"
-    if last in ".…" and (m := _DOTS.search(end)):
-        state, tail = "dots", tail[: len(tail) - len(end) + m.start()].rstrip()
-    elif last == "." and _SHORT_STOP.search(end):
+    if last in ".…" and (m := _DOTS.search(tail)):
+        state, tail = "dots", tail[: m.start()].rstrip()
+    elif last == "." and _SHORT_STOP.search(tail[-4:]):
         state, tail = "stop", tail[:-1]
-    elif last not in _OPEN and _CLOSED.search(end):
+    elif last not in _OPEN and _CLOSED.search(tail):
         return "closed", None, [], "text"
-    tokens = forms(tail[tail.find(" ") + 1 :] if len(tail) >= TAIL - 8 else tail)[-ORDERS[-1] :]
+    tokens = forms(tail[tail.find(" ") + 1 :] if is_part else tail)[-ORDERS[-1] :]
     last = re.search(r"[^\W\d_]+$", tail)
     line = tail[tail.rfind("\n") + 1 :].lstrip() if "\n" in tail else line.lstrip()
     place = "row" if _ROW.match(line) else "name" if tokens and tokens[-1] == "N" else "text"
@@ -180,26 +187,53 @@ def ends(records: DataFrame) -> DataFrame:
                 places.append(place)
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(states, pa.string()), pa.array(places, pa.string()), pa.array(words, pa.int64()), pa.array(grams, pa.list_(pa.int64()))], ["table_name", "record_id", "origin", "n_chars", "n_bytes", "state", "place", "word", "grams"])
 
-    text = F.rtrim("text", F.lit(_BLANKS))
-    last_line = F.when(F.instr(text, "\n") > 0, F.substring(F.ltrim(F.substring_index(text, "\n", -1), F.lit(_BLANKS)), 1, 32)).otherwise("")
-    rows = records.filter(F.col("record_id").isNotNull()).filter(F.btrim("text", F.lit(" \t\r\n ")) != "").select("table_name", F.col("record_id").cast("string").alias("record_id"), "origin", F.length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes"), F.substring(text, -TAIL, TAIL).alias("tail"), last_line.alias("line"))
+    # Blanks at the end are taken off here, however many, and the tail is whole words, however long.
+    text = F.rtrim(F.replace("text", F.lit("\r"), F.lit("\n")), F.lit(_BLANKS))
+    last_line = F.when(F.instr(text, "\n") > 0, F.ltrim(F.substring_index(text, "\n", -1), F.lit(_BLANKS))).otherwise("")
+    # Of the last line only its beginning, a mark of a list or a number, is read.
+    last_line = F.substring_index(last_line, " ", 2)
+    rows = records.filter(F.col("record_id").isNotNull()).filter(text != "").select("table_name", F.col("record_id").cast("string").alias("record_id"), "origin", F.length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes"), F.substring_index(text, " ", -WORDS).alias("tail"), last_line.alias("line"))
     out = spread(rows).mapInArrow(read, "table_name string, record_id string, origin string, n_chars int, n_bytes int, state string, place string, word long, grams array<long>")
     return out.groupBy("table_name", "record_id").agg(F.max(F.struct("n_chars", "n_bytes", "origin", "state", "place", "word", "grams")).alias("x")).select("table_name", "record_id", "x.*")
 
 
+def _probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each hash."""
+    h = h.view(np.uint64)
+    return (h & np.uint64(bits - 1)).astype(np.int64), ((h >> np.uint64(33)) & np.uint64(bits - 1)).astype(np.int64)
+
+
 def _bitmap(found: DataFrame) -> np.ndarray:
-    """Bits of the hashes that open ends ask for: BITS in all, however many ends there are."""
-    asked = found.filter("state <> 'closed'").select(F.explode(F.concat("grams", F.filter(F.array("word"), lambda w: w.isNotNull()))).alias("h")).select(F.expr(f"pmod(h, {BITS})").alias("bit"))
-    words = asked.groupBy(F.expr("bit div 32").alias("at")).agg(F.expr("bit_or(shiftleft(1L, int(bit % 32)))").alias("bits")).toPandas()
-    out = np.zeros(BITS // 32, np.uint32)
-    out[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
+    """Packed bits of the hashes that open ends ask for: about BITS_EACH for each, between the bounds.
+
+    Beyond 2^MOST_BITS / BITS_EACH open ends the bitmap lets more through and the join that follows has more to do.
+    Blocks of bits are built by the workers; the driver gets them, at most 2^MOST_BITS bits.
+    """
+    asked = found.filter("state <> 'closed'").select(F.explode(F.concat("grams", F.filter(F.array("word"), lambda w: w.isNotNull()))).alias("h"))
+    power = min(max(int(np.ceil(np.log2(asked.count() * BITS_EACH + 1))), FEWEST_BITS), MOST_BITS)
+    bits, block = 1 << power, 1 << 16
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = batch.column(0).to_numpy(zero_copy_only=False)
+            for b in np.unique(at // block).tolist():
+                held.setdefault(b, np.zeros(block, bool))[at[at // block == b] % block] = True
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([np.packbits(x).tobytes() for x in held.values()], pa.binary())], ["block", "bits"])
+
+    low, high = (F.expr(f"{h} & {bits - 1}L") for h in ("h", "shiftrightunsigned(h, 33)"))
+    at = asked.select(F.explode(F.array(low, high)).alias("at"))
+    rows = at.withColumn("block", F.expr(f"at div {block}")).repartition("block").select("at").mapInArrow(build, "block long, bits binary").collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for r in rows:
+        out[r["block"] * block // 8 : (r["block"] + 1) * block // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
 
 
 def _statistics(records: DataFrame, asked: np.ndarray) -> DataFrame:
     """h, seen, ended, known, longer, for hashes that are asked for: how often a word group was followed by something
     and by an end; how often a word occurs, and words that it is a proper prefix of. Last words of texts do not count."""
-    shared = records.sparkSession.sparkContext.broadcast(np.packbits(asked))
+    shared = records.sparkSession.sparkContext.broadcast(asked)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = _Tally(np.unpackbits(shared.value).view(bool))
@@ -226,7 +260,7 @@ class _Tally:
     """Counts of one task: groups of forms that are asked for, by hash, and words."""
 
     def __init__(self, wanted: np.ndarray):
-        self.wanted = wanted
+        self.wanted, self.bits = wanted, len(wanted)
         self.words: Counter = Counter()
         self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
@@ -248,12 +282,18 @@ class _Tally:
         before_end = np.append(own[1:] == np.uint64(_HASHES[_END]), False)
         for n in ORDERS:
             h = all_group_hashes(own, n)
-            asked = np.flatnonzero(self.wanted[h % BITS])
+            asked = self.asked(h)
             if len(asked):
                 hashes, where = np.unique(h[asked], return_inverse=True)
                 ended = np.bincount(where, before_end[n - 1 :][asked], len(hashes)).astype(np.int64)
                 self.found.append((hashes, np.bincount(where, minlength=len(hashes)), ended))
 
+    def asked(self, h: np.ndarray) -> np.ndarray:
+        """Places of the hashes that the bitmap lets through."""
+        low, high = _probes(h, self.bits)
+        at = np.flatnonzero(self.wanted[low])
+        return at[self.wanted[high[at]]]
+
     def size(self) -> int:
         return max(len(self.words), sum(len(x[0]) for x in self.found) // 4)
 
@@ -271,10 +311,10 @@ class _Tally:
             for size in range(1, len(word)):
                 trie[word[:size]] += n
         for column, counts in ((2, words), (3, trie)):
-            for word, n in counts.items():
-                h = _word_hash(word)
-                if self.wanted[h % BITS]:
-                    rows.setdefault(h, [0, 0, 0, 0])[column] += n
+            names = list(counts)
+            hashes = np.fromiter(map(_word_hash, names), np.int64, len(names))
+            for at in self.asked(hashes).tolist():
+                rows.setdefault(int(hashes[at]), [0, 0, 0, 0])[column] += counts[names[at]]
         self.words.clear()
         self.found.clear()
         numbers = np.array(list(rows.values()), np.int64).reshape(-1, 4)
@@ -294,27 +334,28 @@ def cut_records(records: DataFrame) -> DataFrame:
         "table_name", "record_id", F.posexplode(F.concat(F.array("word"), "grams")).alias("n", "h")
     ).filter("h is not null")
     judged = (
-        asked.join(stats, "h", "left")
+        asked.join(stats.hint("merge"), "h", "left")
         .groupBy("table_name", "record_id")
         .agg(
             F.max(F.when((F.col("n") > 0) & (F.col("seen") >= SEEN), F.struct(F.col("n"), (F.col("ended") / F.col("seen")).alias("p")))).alias("best"),
             F.max(F.when(F.col("n") == 0, F.coalesce(F.col("known"), F.lit(0)))).alias("known"),
             F.max(F.when(F.col("n") == 0, F.coalesce(F.col("longer"), F.lit(0)))).alias("longer"),
         )
-        .select("table_name", "record_id", F.col("best.p").alias("p_end"), ((F.col("known") == 0) & (F.col("longer") > 0)).alias("unknown_prefix"))
+        .select("table_name", "record_id", F.col("best.p").alias("p_end"), ((F.col("longer") > 0) & (F.col("known") * RARE < F.col("longer"))).alias("unknown_prefix"))
     )
-    limits = _limits(found)
-    hit = lambda unit, back: F.col(f"limit_{unit}").isNotNull() & F.col(f"n_{unit}").between(F.col(f"limit_{unit}") - back, F.col(f"limit_{unit}"))
     origin = F.coalesce(F.col("origin"), F.lit(""))
+    within = lambda unit, back, firm=False: F.coalesce(F.exists(f"limits_{unit}", lambda x: F.col(f"n_{unit}").between(x["n"] - back, x["n"]) & (x["holds"] | F.lit(not firm))), F.lit(False))
     whole = (
         found.withColumn("origin_key", origin)
-        .join(limits, ["table_name", "origin_key"], "left")
+        .join(_limits(found), ["table_name", "origin_key"], "left")
         .join(judged, ["table_name", "record_id"], "left")
-        .withColumn("at_limit", hit("chars", 0) | hit("bytes", 0) | (hit("bytes", 3) & (F.coalesce("p_end", F.lit(0.0)) < ENDS_AT_LIMIT)))
+        .withColumn("at_limit", within("chars", 0) | within("bytes", 0) | (within("bytes", 3) & (F.coalesce("p_end", F.lit(0.0)) < ENDS_AT_LIMIT)))
+        .withColumn("at_firm_limit", within("chars", 0, True) | within("bytes", 3, True))
         .withColumns({"p_known": F.col("p_end").isNotNull(), "p_end": F.coalesce("p_end", F.lit(0.0)), "unknown_prefix": F.coalesce("unknown_prefix", F.lit(False))})
     )
     broken = F.col("unknown_prefix") & ((F.col("p_end") < 0.5) | (F.col("place") == "name"))
-    whole_here = F.when(F.col("place") == "row", F.col("p_end") >= ENDS_AT_LIMIT).otherwise(False)
+    # At a limit that nearly all texts of the origin keep to, only a row may end without a stop.
+    whole_here = ((F.col("place") == "row") | ~F.col("at_firm_limit")) & (F.col("p_end") >= ENDS_AT_LIMIT)
     is_cut = (
         F.when(F.col("state") == "closed", False)
         .when(F.col("state") == "mark", True)
@@ -327,22 +368,25 @@ def cut_records(records: DataFrame) -> DataFrame:
 
 
 def _limits(found: DataFrame) -> DataFrame:
-    """By table and origin the length at which open ends pile up, in characters and in bytes; null where none does.
+    """By table and origin all lengths at which open ends pile up, in characters and in bytes: see CHANCE.
 
-    A pile has at least 5 and a twentieth of the open ends of its origin, and at most a fiftieth of the origin's texts are longer.
+    A pile is held against the lengths around it, so it counts alike at every size of an origin and an origin may have
+    several limits; `holds` says of each whether at most a fiftieth of the origin's texts are longer. Open ends with the same last words, like those of copies, count once.
     """
-    key = F.coalesce(F.col("origin"), F.lit("")).alias("origin_key")
-    out = None
-    for unit in ("chars", "bytes"):
-        n = f"n_{unit}"
-        by = found.groupBy("table_name", key, F.col(n).alias("n")).agg(F.count("*").alias("texts"), F.count_if(F.col("state") != "closed").alias("open"))
-        total = by.groupBy("table_name", "origin_key").agg(F.sum("texts").alias("all_texts"), F.sum("open").alias("all_open"), F.max(F.struct("open", "n", "texts")).alias("top"))
-        longer = by.join(total, ["table_name", "origin_key"]).groupBy("table_name", "origin_key").agg(
-            F.first("top").alias("top"), F.first("all_texts").alias("all_texts"), F.first("all_open").alias("all_open"), F.sum(F.when(F.col("n") > F.col("top.n"), F.col("texts")).otherwise(0)).alias("longer")
-        )
-        one = longer.select("table_name", "origin_key", F.when((F.col("top.open") >= 5) & (F.col("top.open") * 20 >= F.col("all_open")) & (F.col("longer") * 50 <= F.col("all_texts")), F.col("top.n")).alias(f"limit_{unit}"))
-        out = one if out is None else out.join(one, ["table_name", "origin_key"])
-    return out
+    lengths = F.array(*(F.struct(F.lit(unit).alias("unit"), F.col(f"n_{unit}").alias("n")) for unit in ("chars", "bytes")))
+    rows = found.select("table_name", F.coalesce(F.col("origin"), F.lit("")).alias("origin_key"), F.explode(lengths).alias("x"), F.when(F.col("state") != "closed", F.xxhash64("grams", "word")).alias("end"))
+    key = ["table_name", "origin_key", "unit"]
+    ends = rows.select("table_name", "origin_key", "x.*", "end").groupBy(*key, "n", "end").agg(F.count("*").alias("texts"))
+    by = ends.groupBy(*key, "n").agg(F.sum("texts").alias("texts"), F.count("end").alias("open"))
+    near = Window.partitionBy(*key).orderBy("n").rangeBetween(-AROUND, AROUND)
+    rate = F.greatest((F.sum("open").over(near) - F.col("open")) / (2 * AROUND), F.lit(0.5 / AROUND))
+    k = F.col("open")
+    # The logarithm of the chance of k by a Poisson law, k! by Stirling's formula, times the number of lengths.
+    chance = k * F.ln("rate") - F.col("rate") - (k * F.ln(k) - k + F.ln(2 * math.pi * k) / 2) + F.ln(F.count("*").over(Window.partitionBy(*key)))
+    beyond = F.sum("texts").over(Window.partitionBy(*key).orderBy("n").rowsBetween(1, Window.unboundedFollowing))
+    holds = F.coalesce(beyond, F.lit(0)) * 50 <= F.sum("texts").over(Window.partitionBy(*key))
+    piles = by.withColumns({"rate": rate, "holds": holds}).filter((k > F.col("rate")) & (k * 2 >= F.col("texts"))).withColumn("chance", chance).filter(F.col("chance") < math.log(CHANCE))
+    return piles.groupBy("table_name", "origin_key").agg(*(F.collect_list(F.when(F.col("unit") == unit, F.struct("n", "holds"))).alias(f"limits_{unit}") for unit in ("chars", "bytes")))
 
 
 def cut_rates(judged: DataFrame) -> DataFrame:

@@ -96,7 +96,7 @@ def test_group_hashes_agree():
 def test_an_open_end_ends_no_sentence(value, ended):
     import numpy as np
 
-    tally = T._Tally(np.ones(T.BITS, bool))
+    tally = T._Tally(np.ones(1 << 16, bool))
     tally.add([*tally.tokens(value), *[T._END] * T.ORDERS[-1]])
     got = {h: (a, b) for hashes, seen, ends in tally.found for h, a, b in zip(hashes.tolist(), seen.tolist(), ends.tolist())}
     assert [got.get(h) for h in T.group_hashes(["aprobó", "el", "plan"])] == [None if ended is None else (1, ended)] * 3
@@ -109,3 +109,27 @@ def test_blanks_and_long_rows_at_the_end(spark):
     got = {r["record_id"]: (r["state"], r["place"], r["n_chars"]) for r in T.ends(df).collect()}
     want = {"blank": ("open", "text"), "row": ("open", "row"), "number": ("open", "row"), "text": ("open", "text"), "one": ("open", "text"), "closed": ("closed", "text")}
     assert got == {k: (*want[k], len(v)) for k, v in texts.items()}
+
+
+def test_blanks_long_words_and_long_lines_are_read_whole(spark):
+    rng = random.Random(5)
+    name = "Villa " + "Santa Rosa del Alto " * 15
+    rows = [("t", f"w{k}", "x", text(rng, 5)) for k in range(60)] + [
+        ("t", "blanks", "x", text(rng, 2) + " La mesa técnica aprobó el est" + " \n\t" * 4000), ("t", "row", "x", text(rng, 2) + "\n- " + "zona de manejo " * 40 + "costera"),
+        ("t", "name", "x", text(rng, 2) + " con apoyo de " + name + "en la zona costera."), ("t", "mark", "x", "Se revisó el plan [" + "." * 60 + "]"), ("t", "word", "x", "x" * 50_000), ("t", "done", "x", text(rng, 2) + " " * 10_000),
+    ]
+    got = {r["record_id"]: r for r in T.cut_records(spark.createDataFrame(rows, "table_name string, record_id string, origin string, text string")).collect()}
+    assert got["blanks"]["is_cut"] and got["mark"]["is_cut"] and not got["name"]["is_cut"] and not got["done"]["is_cut"]
+    assert T.read_end(("zona de manejo " * 40).strip(), "- " + "zona de")[3] == "row"
+
+
+def test_several_limits_of_an_origin_and_a_word_that_some_text_holds(spark):
+    rng = random.Random(6)
+    rows = [("t", f"w{k}", "o", text(rng, rng.randrange(1, 9))) for k in range(300)] + [("t", f"a{k}", "o", text(rng, 6)[:200]) for k in range(30)] + [("t", f"b{k}", "o", text(rng, 9)[:450]) for k in range(30)]
+    rows += [("t", f"z{k}", "q", text(rng, 4)) for k in range(400)] + [("t", "typo", "q", "La acued abc se revisó. " + text(rng, 3)), ("t", "cut", "q", text(rng, 2) + " La mesa técnica amplió la red de acued")]
+    df = spark.createDataFrame(rows, "table_name string, record_id string, origin string, text string")
+    limits = {r["origin_key"]: r for r in T._limits(T.ends(df)).collect()}
+    assert {x["n"] for x in limits["o"]["limits_chars"]} == {200, 450} and "q" not in limits
+    got = {r["record_id"]: r for r in T.cut_records(df).collect()}
+    assert got["cut"]["is_cut"] and not any(got[f"w{k}"]["is_cut"] for k in range(300))
+    assert sum(got[f"{x}{k}"]["is_cut"] or got[f"{x}{k}"]["state"] == "closed" for x in "ab" for k in range(30)) >= 58
