@@ -99,7 +99,8 @@ def mix(counted: DataFrame, targets: DataFrame, seed: int = 1) -> DataFrame:
     A source may hold a third of all documents. A stratum is cut by rank in slices of about SLICE documents; counts of
     slices say in which one the draw ends, and only the documents of that slice are sorted.
     """
-    rules = inclusion(counted, allocation(counted, targets), seed)
+    # One row for each plan and source, written out, as the plan of what follows reads them several times.
+    rules = cut_lineage(inclusion(counted, allocation(counted, targets), seed))
     odds = lambda p: p / (1 - p)
     u, chance = _uniform(F.lit(seed), F.col("plan_name"), F.col("doc_id")), F.col("lam") * F.col("n_tokens")
     is_certain = F.coalesce(F.col("n_tokens") >= F.col("certain_from"), F.lit(False))
