@@ -5,6 +5,7 @@ Pure Python on single values; tessella.operators.units runs it in Arrow batches.
 
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
 from functools import lru_cache
@@ -158,7 +159,7 @@ def label_statement(dimension: str, label: str) -> tuple[tuple[float, float] | N
     return None, 1.0
 
 
-_HEAD = re.compile(r"^\s*\(?\s*(?i:(?:valores|cifras|datos|montos)\s+(?:expresad[oa]s\s+)?en|unidad(?:es)?(?:\s+de\s+medida)?:)\s+(?=(.{1,47}))")
+_HEAD = re.compile(r"^\s*\(?\s*(?i:(?:valores|cifras|datos|montos)\s+(?:expresad[oa]s\s+)?en|unidad(?:es)?(?:\s+de\s+medida)?:)\s+")
 #: Where a heading may end; a dot before lower case belongs to an abbreviation like `hab. por km2`.
 _HEAD_END = re.compile(r"\)(?=[\s.])|\.(?=\s+[A-ZÁÉÍÓÚÑ])")
 _NUMBER = re.compile(r"[-−]?\d(?:[\d.,'’   ]*\d)?")
@@ -189,8 +190,8 @@ def _near(a: float, b: float) -> bool:
 
 
 def context_statement(dimension: str, value: float | None, context: str) -> tuple[float, float] | None:
-    """The unit that a context states for the value: right after (for money also before) the number that is the value,
-    or in a heading like `Valores en ha` before the text. Units of other numbers in the context do not count."""
+    """The unit that a context states for the value: right after (for money also before) the number that is the value, in
+    brackets or after `expresado en` in the rest of its clause, or in a heading like `Valores en ha` before the text. Units of other numbers in the context do not count."""
     if value is not None:
         digits = _digits(f"{abs(value):.15g}") if abs(value) < 1e15 else _digits(str(int(abs(value))))
         at = 0
@@ -202,24 +203,29 @@ def context_statement(dimension: str, value: float | None, context: str) -> tupl
                 hit = _digits(said) == digits and any(_near(x, value) for x in readings(said))
             at = end = begin + len(said)
             if hit:
-                if found := _after(dimension, context[end : end + 48]):
+                if found := _after(dimension, context, end) or _in_clause(dimension, context, end):
                     return found
                 if dimension == "money" and re.search(r"(?:\$|COP)\s*$", context[max(0, begin - 5) : begin]):
                     return 1.0, 0.0
     if m := _HEAD.match(context):
-        return _heading(dimension, context[m.end() : m.end() + 60], len(m[1]))
+        return _heading(dimension, context, m.end())
     return None
 
 
-def _heading(dimension: str, text: str, most: int) -> tuple[float, float] | None:
-    """The unit that the longest heading at the start of a text spells; a closing bracket at its end may be the unit's."""
-    for end in reversed([m for m in _HEAD_END.finditer(text) if 0 < m.start() < most]):
+def _heading(dimension: str, context: str, at: int) -> tuple[float, float] | None:
+    """The unit that the longest heading at a place of a text spells; a closing bracket at its end may be the unit's."""
+    words = list(itertools.islice(_WORDS.finditer(context, at), MOST_WORDS + 1))
+    text = context[at : words[-1].end() + 2] if words else ""
+    for end in reversed([m for m in _HEAD_END.finditer(text) if m.start()]):
         for part in (text[: end.end()], text[: end.start()]):
             if found := unit(dimension, part):
                 return found
     return None
 
 
+_WORDS = re.compile(r"\S+")
+#: No spelling of a unit has more words, number words before it included.
+MOST_WORDS = 4 + max(len(x.split(" ")) for own in BY_SPELLING.values() for x in own)
 #: Words with which a unit may begin, by dimension.
 _BEGIN = {dimension: {x.split(" ")[0] for x in own} | {x.split(" ")[0] for x in SCALES} for dimension, own in BY_SPELLING.items()}
 
@@ -229,17 +235,27 @@ def _begins(dimension: str, word: str) -> bool:
     return spelling(word).split(" ")[0] in _BEGIN.get(dimension, ())
 
 
-_WORDS = re.compile(r"\S+")
+def _after(dimension: str, context: str, at: int) -> tuple[float, float] | None:
+    """The unit with the most words right at a place of a text, after any white space."""
+    words = list(itertools.islice(_WORDS.finditer(context, at), MOST_WORDS))
+    if not words or not _begins(dimension, words[0].group()):
+        return None
+    for m in reversed(words):
+        if found := unit(dimension, context[at : m.end()].rstrip(",;:)")):
+            return found
+    return None
 
 
-def _after(dimension: str, text: str) -> tuple[float, float] | None:
-    """The unit with the most words at the start of a text."""
-    first = _WORDS.search(text)
-    if not first or not _begins(dimension, first.group()):
-        return None
-    cuts = [m.end() for m in _WORDS.finditer(text)][:6]
-    for cut in reversed(cuts):
-        part = text[:cut].rstrip(",;:)")
-        if found := unit(dimension, part):
+#: The rest of a clause: up to a stop, a semicolon or the next number, in which case units are that number's.
+_CLAUSE = re.compile(r"(?:[^.;\d]|\.(?!\s|$)|(?<=[^\W\d_])[23])*")
+_SAID = re.compile(r"[(\[]\s*([^()\[\]]+?)\s*[)\]]|(?i:\b(?:expresad[oa]s?|medid[oa]s?|dad[oa]s?|calculad[oa]s?)\s+en)\s+")
+
+
+def _in_clause(dimension: str, context: str, at: int) -> tuple[float, float] | None:
+    """The unit that the clause after a number states in brackets or after words like `expresado en`, however far on."""
+    clause = _CLAUSE.match(context, at)
+    for m in _SAID.finditer(context, at, clause.end()):
+        found = unit(dimension, m[1]) if m[1] else _after(dimension, context, m.end())
+        if found:
             return found
     return None

@@ -30,7 +30,7 @@ def pack(artifacts: DataFrame, budget: int = BUDGET, tokens: Column | None = Non
             used = (used or 0) + n
         return (used, no), {"chunk_no": no}
 
-    return ordered_fold(sized, [document, "section_no"], [pos], lambda: None, step, "chunk_no int")
+    return ordered_fold(sized, [document, "section_no"], [pos], lambda: None, step, "chunk_no int", ["n_tokens"])
 
 
 def chunks(artifacts: DataFrame, budget: int = BUDGET, overlap: int = OVERLAP, tokens: Column | None = None) -> DataFrame:

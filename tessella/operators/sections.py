@@ -37,7 +37,7 @@ def heading_stack(headings: DataFrame, document: str = "document_id", pos: str =
         stack = [*stack[: level - 1], row["content"] or ""]
         return stack, {"path": stack}
 
-    return ordered_fold(headings, [document], [pos], list, step, "path array<string>")
+    return ordered_fold(headings, [document], [pos], list, step, "path array<string>", ["heading_level", "content"])
 
 
 def section_paths(artifacts: DataFrame, document: str = "document_id", pos: str = "pos") -> DataFrame:
@@ -49,10 +49,12 @@ def section_paths(artifacts: DataFrame, document: str = "document_id", pos: str
         if row["is_heading"]:
             level = row["heading_level"] if row["heading_level"] is not None else 1
             path = path[: max(level, 0)]
-            path = [*path, row["content"] or ""] if len(path) < level else [*path[: level - 1], row["content"] or "", *path[level:]]
+            path = [*path, row["_heading"]] if len(path) < level else [*path[: level - 1], row["_heading"], *path[level:]]
         return path, {"heading_path": path}
 
-    return ordered_fold(artifacts, [document, "section_no"], [pos], list, step, "heading_path array<string>")
+    # Only headings and titles of sections that begin reach Python; other texts stay in Arrow.
+    named = artifacts.withColumn("_heading", F.when(F.col("is_heading"), F.coalesce("content", F.lit(""))))
+    return ordered_fold(named, [document, "section_no"], [pos], list, step, "heading_path array<string>", ["section_title", "is_heading", "heading_level", "_heading"]).drop("_heading")
 
 
 def markdown_sections(texts: DataFrame, key: str, text: str) -> DataFrame:

@@ -23,6 +23,11 @@ def is_failed_image(kind: Column, status: Column, confidence: Column, described:
     return F.coalesce(kind.isin("image", "chart", "map"), F.lit(False)) & F.when(status == "success", False).when(is_failed(status), True).when(~F.coalesce(described, F.lit(False)), True).otherwise(F.coalesce(status.isNull() & (confidence <= 0.3), F.lit(False)))
 
 
+def is_low_confidence_image(kind: Column, status: Column, confidence: Column, threshold: float) -> Column:
+    """Whether an image was described with less confidence than the threshold; failed ones are not."""
+    return F.coalesce(kind.isin("image", "chart", "map") & (status == "success") & (confidence < threshold), F.lit(False))
+
+
 def latest(df: DataFrame, key: str, version: str) -> DataFrame:
     """One row for each key: the greatest version, of equal versions the row of the greatest hash. Null keys are dropped.
 

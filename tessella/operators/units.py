@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions import measures
@@ -15,6 +16,11 @@ from tessella.tables import cut_lineage, spread
 #: Identities among quantities of one territory and year: product of the amounts to these powers, times the constant, is 1.
 #: A density in inhabitants per km² is the population over the area in ha, times 100.
 IDENTITIES = ({"DE01": -1.0, "PO01": 1.0, "AR01": -1.0, "constant": 100.0},)
+#: What does not change from year to year: the area of a territory and the length of its coast.
+CONSTANT = ("AR01", "LO02")
+#: An identity is dropped where the stated amounts refute it: of at least CASES cases less than SHARE have a log residual
+#: within HOLDS_WITHIN.
+CASES, SHARE, HOLDS_WITHIN = 20, 0.5, math.log(1.1)
 #: Unit choices whose log residuals differ by less than this are not told apart.
 UNIQUE_GAP = math.log(1.05)
 #: Two values are recorded differently if they differ by more than this share, and amounts agree within the other one.
@@ -70,8 +76,11 @@ def statements(dimension: str, value: float | None, label: str | None, unit: str
     by_label, word = measures.label_statement(dimension, label) if label else (None, 1.0)
     by_context = measures.context_statement(dimension, value, context) if context else None
     if word != 1.0:
-        # The word scales a plain unit; beside a unit that is scaled already it may repeat that scale or add to it.
+        # The word scales a plain unit; beside a unit that is scaled already it may add to that scale or repeat it.
+        scaled = [x for x in (by_unit, by_context) if x and x[0] not in (1.0, word)]
         by_unit, by_context = ((x[0] * word, x[1]) if x and x[0] != word else x for x in (by_unit, by_context))
+        if scaled and dimension in ("money", "population"):
+            return list(dict.fromkeys(x for x in (by_unit, by_context, *scaled) if x))
         if not by_unit and not by_context and dimension in ("money", "population"):
             by_label = (word, 0.0)
     return list(dict.fromkeys(x for x in (by_unit, by_label, by_context) if x))
@@ -82,11 +91,12 @@ def amounts(entries: DataFrame, indicators: DataFrame) -> DataFrame:
 
     Columns: entry_id, measure_key, value, stated, factor, shift, amount, residual, is_unique.
 
-    An entry with one candidate unit has its amount at once. For the others the log of the amount is held against what
-    physical identities say it must be: entries of the same measure_key name one quantity, and density, population and
-    area of a place and year are bound by IDENTITIES. The unit with the least log residual is chosen; is_unique is
-    false where a second choice comes within UNIQUE_GAP of it or nothing is known, and then the amount is null unless
-    the unit was stated. Null values have null amounts.
+    An entry with one candidate unit has its amount at once. For the others that combination of value and unit is chosen
+    that has the least log residual against identities: entries of the same measure_key name one quantity, so a candidate
+    that meets a stated amount of its key within AMOUNTS_AGREE comes first; then what stands nearest to the median of the
+    key; then, where the key has no stated entry, to what IDENTITIES and CONSTANT make of other keys, unless the
+    stated amounts refute them. is_unique is false where a second choice comes within UNIQUE_GAP of the first or
+    nothing is known, and then the amount is null unless the unit was stated. Null values have null amounts.
     """
     return _resolved(cut_lineage(candidates(entries, indicators)))
 
@@ -96,48 +106,87 @@ def _resolved(read: DataFrame) -> DataFrame:
     amount = F.col("value") * F.col("factor") + F.col("shift")
     one = read.filter(F.size("candidates") == 1).withColumns({"factor": F.col("candidates")[0]["a"], "shift": F.col("candidates")[0]["b"], "residual": F.lit(0.0), "is_unique": F.lit(True)})
     open_choice = read.filter(F.size("candidates") != 1)
-    known = _expected(read.filter((F.size("candidates") == 1) & F.col("stated")))
-    picked = open_choice.join(known, "measure_key", "left").withColumns(
-        {
-            "ranked": F.expr(
-                """array_sort(transform(filter(candidates, c -> value * c.a + c.b > 0 and expected is not null),
-                   c -> named_struct('residual', abs(ln(value * c.a + c.b) - expected), 'a', c.a, 'b', c.b)))"""
-            )
-        }
-    )
-    best = picked.withColumns(
-        {
-            "factor": F.get("ranked", F.lit(0))["a"],
-            "shift": F.get("ranked", F.lit(0))["b"],
-            "residual": F.get("ranked", F.lit(0))["residual"],
-            "is_unique": F.coalesce((F.size("ranked") == 1) | (F.get("ranked", F.lit(1))["residual"] - F.get("ranked", F.lit(0))["residual"] > UNIQUE_GAP), F.lit(False)),
-        }
-    )
+    stated = read.filter((F.size("candidates") == 1) & F.col("stated"))
+    known = open_choice.join(_expected(stated), "measure_key", "left").join(_met(open_choice, stated), "entry_id", "left")
+    known = known.withColumn("territory", _territory()).join(_constants(stated), "territory", "left").withColumn("expected", F.coalesce("expected", "constant"))
+    ranked = """array_sort(transform(filter(candidates, c -> value * c.a + c.b > 0 and (expected is not null or met is not null)),
+                c -> named_struct('residual', coalesce(element_at(met, named_struct('a', c.a, 'b', c.b)), abs(ln(value * c.a + c.b) - expected), 1000d), 'a', c.a, 'b', c.b)))"""
+    picked = known.withColumn("ranked", F.expr(ranked.replace("element_at", "try_element_at")))
+    first, second = F.get("ranked", F.lit(0)), F.get("ranked", F.lit(1))
+    # Where one candidate meets a stated amount, others are far if they meet none, however near they are to the median.
+    apart = F.when(F.size("met") > 0, (F.size("met") == 1) | (second["residual"] - first["residual"] > AMOUNTS_AGREE)).otherwise(second["residual"] - first["residual"] > UNIQUE_GAP)
+    best = picked.withColumns({"factor": first["a"], "shift": first["b"], "residual": first["residual"], "is_unique": F.coalesce((F.size("ranked") == 1) | apart, F.lit(False))})
     # A stated unit stands even where the choice between statements is open: the first statement, the unit column's.
     best = best.withColumns({c: F.coalesce(F.col(c), F.when(F.col("stated"), F.col("candidates")[0][k])) for c, k in (("factor", "a"), ("shift", "b"))})
     kept = ["entry_id", "measure_key", "value", "stated", "factor", "shift", "residual", "is_unique"]
     return one.select(kept).unionByName(best.select(kept)).withColumn("amount", F.when(F.col("stated") | F.col("is_unique"), amount))
 
 
+def _band(amount: Column) -> Column:
+    return F.when(amount == 0, F.lit(0)).otherwise(F.floor(F.ln(F.abs(amount)) / BAND)).cast("long")
+
+
+def _met(open_choice: DataFrame, stated: DataFrame) -> DataFrame:
+    """entry_id and `met`: the candidates, as a map to their residual, whose amount a stated entry of the key has.
+
+    An equi-join on key and band, so a hot key is spread over its bands; the stated side is one row for each band.
+    """
+    amount = F.col("value") * F.col("candidates")[0]["a"] + F.col("candidates")[0]["b"]
+    held = stated.filter(amount > 0).groupBy("measure_key", _band(amount).alias("band")).agg(F.min(F.ln(amount)).alias("low"), F.max(F.ln(amount)).alias("high"))
+    asked = (
+        open_choice.filter(F.col("value").isNotNull() & F.col("measure_key").isNotNull())
+        .select("entry_id", "measure_key", F.explode("candidates").alias("c"), "value")
+        .withColumn("log", F.ln(F.col("value") * F.col("c.a") + F.col("c.b")))
+        .filter("log is not null")
+        .withColumn("band", F.explode(F.array(*(F.floor(F.col("log") / BAND).cast("long") + k for k in (-1, 0, 1)))))
+    )
+    gap = F.least(F.abs(F.col("log") - F.col("low")), F.abs(F.col("log") - F.col("high")))
+    near = asked.join(held, ["measure_key", "band"]).withColumn("gap", F.when(F.col("log").between(F.col("low"), F.col("high")), 0.0).otherwise(gap)).filter(F.col("gap") <= -math.log(1 - AMOUNTS_AGREE))
+    return near.groupBy("entry_id", "c").agg(F.min("gap").alias("gap")).groupBy("entry_id").agg(F.map_from_entries(F.collect_list(F.struct("c", "gap"))).alias("met"))
+
+
 def _expected(stated: DataFrame) -> DataFrame:
     """For each measure_key the log of the amount that it should have: the median of its stated entries, else an identity.
 
     The median is a sketch that is merged map-side, so a key of any number of entries is one small row before the shuffle.
+    An identity that the medians of the stated entries refute does not count.
     """
-    amount = F.col("value") * F.col("candidates")[0]["a"] + F.col("candidates")[0]["b"]
-    own = stated.filter(amount > 0).groupBy("measure_key", "indicator", "place").agg(F.percentile_approx(F.ln(amount), 0.5, 1000).alias("own"))
-    implied = None
+    own, found = _medians(stated), []
     for identity in IDENTITIES:
         powers = {k: v for k, v in identity.items() if k != "constant"}
         wide = own.filter(F.col("indicator").isin(*powers)).groupBy("place").agg(*(F.max(F.when(F.col("indicator") == k, F.col("own"))).alias(k) for k in powers))
-        for k, power in powers.items():
-            rest = sum((F.col(j) * p for j, p in powers.items() if j != k), F.lit(math.log(identity["constant"])))
-            row = wide.select(F.concat(F.lit(f"{k}:"), "place").alias("measure_key"), (-rest / power).alias("implied")).filter("implied is not null")
-            implied = row if implied is None else implied.unionByName(row)
+        rest = lambda but: sum((F.col(j) * p for j, p in powers.items() if j != but), F.lit(math.log(identity["constant"])))  # noqa: B023, E731
+        holds = _holds(wide.select(rest(None).alias("residual")))
+        found += [wide.select(F.concat(F.lit(f"{k}:"), "place").alias("measure_key"), (-rest(k) / p).alias("implied")).crossJoin(holds) for k, p in powers.items()]
+    implied = reduce(DataFrame.unionByName, found).filter("holds and implied is not null")
     both = own.select("measure_key", "own", F.lit(None).cast("double").alias("implied")).unionByName(implied.select("measure_key", F.lit(None).cast("double").alias("own"), "implied"))
     return both.groupBy("measure_key").agg(F.coalesce(F.max("own"), F.avg("implied")).alias("expected"))
 
 
+def _medians(stated: DataFrame) -> DataFrame:
+    """The median log amount of the stated entries of each measure_key: own."""
+    amount = F.col("value") * F.col("candidates")[0]["a"] + F.col("candidates")[0]["b"]
+    return stated.filter(amount > 0).groupBy("measure_key", "indicator", "place").agg(F.percentile_approx(F.ln(amount), 0.5, 1000).alias("own"))
+
+
+def _territory() -> Column:
+    return F.concat_ws(":", "indicator", F.substring_index("place", ":", 1))
+
+
+def _constants(stated: DataFrame) -> DataFrame:
+    """territory and `constant`: the log amount over all years of what does not change in time, where years agree."""
+    years = _medians(stated.filter(F.col("indicator").isin(*CONSTANT))).select("indicator", _territory().alias("territory"), "own")
+    every = years.groupBy("indicator", "territory").agg(F.percentile_approx("own", 0.5, 1000).alias("constant"))
+    holds = _holds(years.join(every, ["indicator", "territory"]).select("indicator", (F.col("own") - F.col("constant")).alias("residual")), "indicator")
+    return every.join(holds.filter("holds"), "indicator").select("territory", "constant")
+
+
+def _holds(residuals: DataFrame, *by: str) -> DataFrame:
+    """Whether an identity stands against the stated amounts, in all or by columns."""
+    r = F.col("residual")
+    return residuals.filter(r.isNotNull()).groupBy(*by).agg(((F.count("*") < CASES) | (F.count_if(F.abs(r) <= HOLDS_WITHIN) >= SHARE * F.count("*"))).alias("holds"))
+
+
 def same_amount_pairs(entries: DataFrame, indicators: DataFrame) -> DataFrame:
     """Pairs of entries of one measure_key whose values as recorded differ while their amounts in the common unit agree.
 
@@ -150,11 +199,10 @@ def same_amount_pairs(entries: DataFrame, indicators: DataFrame) -> DataFrame:
     candidate is a result, whatever the size of a key, and a hot key is spread over its bands and units.
     """
     read = cut_lineage(candidates(entries.filter(F.col("measure_key").isNotNull() & F.col("value").isNotNull()), indicators).filter("stated"))
-    band = F.when(F.col("amount") == 0, F.lit(0)).otherwise(F.floor(F.ln(F.abs("amount")) / BAND)).cast("long")
     sized = (
         _resolved(read)
         .filter("amount is not null")
-        .select("entry_id", "measure_key", "value", "amount", F.struct("factor", "shift").alias("unit"), F.signum("amount").cast("int").alias("sign"), band.alias("band"))
+        .select("entry_id", "measure_key", "value", "amount", F.struct("factor", "shift").alias("unit"), F.signum("amount").cast("int").alias("sign"), _band(F.col("amount")).alias("band"))
     )
     units = sized.groupBy("measure_key").agg(F.collect_set("unit").alias("units"))
     other = F.explode(F.filter("units", lambda u: (u > F.col("unit")) | ((u == F.col("unit")) & (u["shift"] != 0))))

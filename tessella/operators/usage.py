@@ -42,6 +42,14 @@ def streaks(df: DataFrame, by: list[str], order: list[str], fails: Column, ends:
     return df.withColumn("_island", island).withColumn("streak", F.sum(F.when(fails, 1).otherwise(0)).over(inside).cast("int")).drop("_island")
 
 
+def model_switches(df: DataFrame, by: list[str], order: list[str], fails: Column, ends: Column, threshold: int) -> DataFrame:
+    """Adds model_no: how often the model was switched so far, once for each `threshold` fails in a row; a switch begins the count again."""
+    upto = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    hop = F.coalesce(fails, F.lit(False)) & (F.col("_streak") % threshold == 0)
+    counted = streaks(df, by, order, fails, ends).withColumnRenamed("streak", "_streak")
+    return counted.withColumn("model_no", F.sum(hop.cast("int")).over(upto).cast("int")).drop("_streak")
+
+
 def longest_streaks(df: DataFrame, by: list[str]) -> DataFrame:
     """The longest streak and the number of rows that fail, by columns."""
     return df.groupBy(*by).agg(F.max("streak").alias("longest"), F.count("*").alias("n_rows"))

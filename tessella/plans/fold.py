@@ -10,13 +10,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
-def ordered_fold(df: DataFrame, keys: list[str], order: list[str], start: Callable[[], object], step: Callable[[object, dict], tuple[object, dict]], added: str) -> DataFrame:
+def ordered_fold(df: DataFrame, keys: list[str], order: list[str], start: Callable[[], object], step: Callable[[object, dict], tuple[object, dict]], added: str, reads: list[str]) -> DataFrame:
     """`df` with the columns `added` (a schema) that `step` gives for each row, in `order` within `keys`.
 
     Some results depend on all rows before and cannot be written as window frames, like sums that start again or stacks.
     Rows are hash-partitioned by keys and sorted, and stream through one pass that keeps one state: memory doesn't grow
     with a group, and the sort spills. `start()` makes the state of a group; `step(state, row)` gives the next state and
-    the added values.
+    the added values; a row has the columns `reads` only, and no others become Python objects.
     """
     names = [x.strip().split(" ")[0].strip("`") for x in added.split(", ")]
     schema = StructType([*df.schema.fields, *StructType.fromDDL(added).fields])
@@ -27,8 +27,8 @@ def ordered_fold(df: DataFrame, keys: list[str], order: list[str], start: Callab
         last, state = None, None
         for batch in batches:
             out: dict[str, list] = {n: [] for n in names}
-            for row in batch.to_pylist():
-                key = tuple(row[k] for k in keys)
+            whose = zip(*(batch.column(k).to_pylist() for k in keys))
+            for key, row in zip(whose, batch.select(reads).to_pylist()):
                 if last is None or key != last:
                     last, state = key, start()
                 state, values = step(state, row)

@@ -142,7 +142,7 @@ def all_gates(spark: SparkSession, d: str) -> DataFrame:
     return quality.all_gates(gate_summary(spark, d), gate_draft(spark, d), gate_completeness(spark, d), gate_review(spark, d))
 
 
-@query()
+@query(" UNION ALL ".join(f"SELECT gate_name, '## ' || gate_name || ': ' || CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END || chr(10) || '- Score: ' || printf('%.2f', score) || chr(10) || '- Items: ' || items_passed || '/' || items_checked || ' passed' AS text FROM ({GATES[k]})" for k in ("gate_summary", "gate_draft", "gate_completeness", "gate_review")))
 def gate_report(spark: SparkSession, d: str) -> DataFrame:
     return quality.gate_report(all_gates(spark, d))
 
@@ -308,8 +308,8 @@ def draft_text(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {V.SECTIONS} SELECT heading, version, section_id FROM se WHERE heading IS NOT NULL QUALIFY row_number() OVER (PARTITION BY heading ORDER BY version DESC NULLS LAST, created_at DESC NULLS LAST, section_id DESC) = 1""")
 def latest_version(spark: SparkSession, d: str) -> DataFrame:
-    newest = F.max_by(F.struct("version", "section_id"), F.struct("version", "created_at", "section_id")).alias("x")
-    return V.sections(spark, d).filter("heading is not null").groupBy("heading").agg(newest).select("heading", "x.version", "x.section_id")
+    rows = V.sections(spark, d).filter("heading is not null").select("heading", "section_id", "version", "created_at")
+    return state.latest(rows.withColumn("order", F.struct("version", "created_at", "section_id")), "heading", "order").select("heading", "version", "section_id")
 
 
 # Enrichment
@@ -379,7 +379,7 @@ def failed_predicate(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {V.ARTIFACTS} SELECT artifact_id, round(confidence, 6) AS confidence FROM art WHERE artifact_type IN ('image', 'chart', 'map') AND status = 'success' AND confidence < 0.8")
 def low_confidence(spark: SparkSession, d: str) -> DataFrame:
-    return V.artifacts(spark, d).filter("artifact_type in ('image', 'chart', 'map') and status = 'success' and confidence < 0.8").select("artifact_id", r6(F.col("confidence"), "confidence"))
+    return V.artifacts(spark, d).filter(state.is_low_confidence_image(F.col("artifact_type"), F.col("status"), F.col("confidence"), 0.8)).select("artifact_id", r6(F.col("confidence"), "confidence"))
 
 
 @query(f"WITH {V.SUMMARIES}, {V.CHUNKS} SELECT chunk_id FROM ch WHERE {V.CLEAN.format('chunk_id')} NOT IN (SELECT {V.CLEAN.format('chunk_id')} FROM su WHERE chunk_id IS NOT NULL)")
@@ -446,7 +446,9 @@ def r_cube(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT o_orderpriority, round(quantile_cont(o_totalprice, 0.5), 4) AS median, round(quantile_cont(o_totalprice, 0.9), 4) AS p90 FROM orders GROUP BY 1")
 def r_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").groupBy("o_orderpriority").agg(F.round(F.percentile("o_totalprice", 0.5), 4).alias("median"), F.round(F.percentile("o_totalprice", 0.9), 4).alias("p90"))
+    """Exact, and no group is held in one task: see relational.quantiles."""
+    out = relational.quantiles(table(spark, d, "orders"), "o_orderpriority", "o_totalprice", {"median": 0.5, "p90": 0.9})
+    return out.select("o_orderpriority", F.round("median", 4).alias("median"), F.round("p90", 4).alias("p90"))
 
 
 @query("(SELECT c_custkey AS k FROM customer INTERSECT SELECT o_custkey FROM orders) EXCEPT SELECT s_suppkey FROM supplier")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,12 +13,8 @@ def _stream(spark: SparkSession, d: str) -> DataFrame:
     return windows.event_stream(spark, d, "events.parquet", table(spark, d, "events").schema)
 
 
-def _name() -> str:
-    return f"stream_{uuid.uuid4().hex}"
-
-
 def _result(df: DataFrame, mode: str = "complete") -> DataFrame:
-    return windows.run_to_memory(df, _name(), mode)
+    return windows.run_to_folder(df, mode)
 
 
 def stream_tumbling(spark: SparkSession, d: str) -> DataFrame:

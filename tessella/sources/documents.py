@@ -23,8 +23,6 @@ ARTIFACT = (
     "heading_path array<string>, table_data array<map<string,string>>, image binary, image_format string, page int, error string"
 )
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
-#: An archive whose parts unpack to more than this is refused.
-MOST_BYTES = 2_000_000_000
 
 
 def scan(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -93,16 +91,13 @@ class Path:
 def parse_docx(name: str, data: bytes) -> Iterator[dict]:
     """Paragraphs and tables in the order of the body, then images."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
-        if sum(i.file_size for i in z.infolist()) > MOST_BYTES:
-            raise ValueError("too large when unpacked")
         styles = {}
         if "word/styles.xml" in z.namelist():
             for s in ElementTree.fromstring(z.read("word/styles.xml")).iter(f"{_W}style"):
                 label = s.find(f"{_W}name")
                 styles[s.get(f"{_W}styleId")] = label.get(f"{_W}val") if label is not None else ""
-        body = ElementTree.fromstring(z.read("word/document.xml")).find(f"{_W}body")
         above = Path()
-        for element in body if body is not None else ():
+        for element in _body(z):
             if element.tag == f"{_W}p":
                 text = _text(element).strip()
                 if not text:
@@ -125,6 +120,22 @@ def parse_docx(name: str, data: bytes) -> Iterator[dict]:
             yield {"artifact_type": "image", "content": "", "is_heading": False, "image": z.read(part), "image_format": "jpeg" if kind == "jpg" else kind, "heading_path": list(above.stack)}
 
 
+def _body(z: zipfile.ZipFile) -> Iterator[ElementTree.Element]:
+    """The elements of a document's body, one after the other; what was read is let go, so documents may be of any size."""
+    with z.open("word/document.xml") as stream:
+        depth, body = 0, None
+        for event, element in ElementTree.iterparse(stream, ("start", "end")):
+            if event == "start":
+                depth += 1
+                if depth == 2 and element.tag == f"{_W}body":
+                    body = element
+            else:
+                depth -= 1
+                if body is not None and depth == 2:
+                    yield element
+                    body.clear()
+
+
 def _text(element) -> str:
     out = []
     for node in element.iter():
@@ -219,6 +230,15 @@ def font_heading(size, bold):
     return F.when(size >= 20, 1).when(size >= 16, 2).when((size >= 14) & bold, 3)
 
 
+def span_level(spans: list[dict]) -> int | None:
+    """font_heading() of the spans of a block: the last one that makes it a heading counts."""
+    level = None
+    for s in spans:
+        if s["size"] >= 16 or (s["size"] >= 14 and s["flags"] & 16):
+            level = 1 if s["size"] >= 20 else 2 if s["size"] >= 16 else 3
+    return level
+
+
 def parse_pdf(name: str, data: bytes) -> Iterator[dict]:
     """Text blocks, tables and images of pages, by PyMuPDF, which is optional: without it the file gives one error row."""
     import fitz
@@ -231,10 +251,7 @@ def parse_pdf(name: str, data: bytes) -> Iterator[dict]:
                 text = "\n".join("".join(s["text"] for s in line["spans"]) for line in block.get("lines", ())).strip()
                 if not text:
                     continue
-                level = None
-                for s in spans:
-                    if s["size"] >= 14 or s["flags"] & 16:
-                        level = 1 if s["size"] >= 20 else 2 if s["size"] >= 16 else 3
+                level = span_level(spans)
                 path = above.heading(text, level) if level else list(above.stack)
                 yield {"artifact_type": "text", "content": text, "is_heading": bool(level), "heading_level": level, "heading_path": path, "page": number}
             for found in page.find_tables():

@@ -34,6 +34,8 @@ class Store:
 
     def load(self, name: str, schema: StructType | str | None = None) -> DataFrame:
         """A table; if it was never written, an empty frame of `schema`, or an error without one."""
+        if not self.exists(name) and self.exists(f"{name}.old"):
+            return self.spark.read.parquet(self.path(f"{name}.old"))
         if not self.exists(name):
             if schema is None:
                 raise FileNotFoundError(self.path(name))
@@ -61,11 +63,24 @@ class Store:
         return df.join(df.agg(F.max("version").alias("_v")), F.col("version") == F.col("_v"), "left_semi")
 
     def upsert(self, name: str, new: DataFrame, key: str, version: str) -> None:
-        """Replaces rows of equal keys if the new version is greater. Written beside, then swapped in."""
+        """Replaces rows of equal keys if the new version is greater. Null keys are dropped.
+
+        Written whole beside the table, then swapped in by two renames: a crash leaves the old or the new table, under its
+        name or that with `.old`, from which load() reads if the other is gone.
+        """
         merged = latest(self.load(name).unionByName(new, allowMissingColumns=True), key, version) if self.exists(name) else latest(new, key, version)
         self.save(f"{name}.next", merged)
-        self.spark.read.parquet(self.path(f"{name}.next")).write.mode("overwrite").parquet(self.path(name))
-        self.drop(f"{name}.next")
+        self.drop(f"{name}.old")
+        self._rename(name, f"{name}.old")
+        self._rename(f"{name}.next", name)
+        self.drop(f"{name}.old")
+
+    def _rename(self, name: str, to: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        a, b = path(self.path(name)), path(self.path(to))
+        system = a.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if system.exists(a) and not system.rename(a, b):
+            raise OSError(f"{a} could not be renamed")
 
     def append(self, name: str, df: DataFrame) -> None:
         """Adds rows to a log of JSON lines."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from tessella.tables import shared_folder
+
 
 def event_stream(spark: SparkSession, folder: str, pattern: str, schema: StructType, time: str = "ts", files: int = 8) -> DataFrame:
     """A stream of the Parquet files of a folder; zoneless times become instants, as watermarks need."""
@@ -47,8 +50,7 @@ def streak_state(df: DataFrame, key: str, kind: str, order: str, fails: str, end
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         streak, longest = state.get if state.exists else (0, 0)
-        rows = pd.concat(list(batches)).sort_values(order)
-        for x in rows[kind]:
+        for x in _in_order(batches, [order], kind):
             streak = 0 if x == ends else streak + (x == fails)
             longest = max(longest, streak)
         state.update((streak, longest))
@@ -59,13 +61,18 @@ def streak_state(df: DataFrame, key: str, kind: str, order: str, fails: str, end
     return marked.groupBy(key).applyInPandasWithState(step, f"{key} {kind_of}, streak int, longest int", "streak int, longest int", "update", GroupStateTimeout.NoTimeout)
 
 
+def _in_order(batches: Iterator[pd.DataFrame], order: list[str], column: str):
+    """The values of a column in an order: only it and the order are kept of the rows of a key in one batch of the stream."""
+    return pd.concat([b[[*order, column]] for b in batches]).sort_values(order)[column]
+
+
 def counter_state(df: DataFrame, key: str, order: str, counter: str) -> DataFrame:
     """For each key, after each batch, what a cumulative counter grew by in it; a counter that falls was reset."""
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = state.get[0] if state.exists else 0
         grown = 0
-        for now in pd.concat(list(batches)).sort_values(order)[counter]:
+        for now in _in_order(batches, [order], counter):
             grown += now - last if now >= last else now
             last = now
         state.update((int(last),))
@@ -90,8 +97,12 @@ def run_batches(df: DataFrame, each: Callable[[DataFrame, int], Any], checkpoint
     df.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def run_to_memory(df: DataFrame, name: str, mode: str) -> DataFrame:
-    """Runs what is there of a stream to its end into a table of the session, for small results and tests."""
-    query = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return df.sparkSession.table(name)
+def run_to_folder(df: DataFrame, mode: str, folder: str | None = None) -> DataFrame:
+    """Runs what is there of a stream to its end into files and reads them: in mode `complete` what the last batch gave, else
+    what all gave. Without a folder a new one in the folder that the executors share; nothing passes through the driver."""
+    spark = df.sparkSession
+    root = folder or f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    out, empty = f"{root}/rows", spark.createDataFrame([], df.schema)
+    empty.write.mode("append").parquet(out)
+    run_batches(df, lambda batch, _: batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out), f"{root}/offsets", mode)
+    return spark.read.schema(df.schema).parquet(out)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,12 +35,25 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if plan.toRdd().getNumPartitions() < cores else df
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """`df` written to the reliable checkpoint folder and read again.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, of spark.checkpoint.dir.
 
-    The folder is the session's spark.checkpoint.dir. Only where that is unset, as in local tests, a temporary one is made.
+    Only a local session without one, as in tests, gets a temporary folder, which is deleted when Python ends; a cluster
+    without one is an error, since its executors could not see such a folder.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tessella-checkpoint-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        if named is None:
+            named = tempfile.mkdtemp(prefix="tessella-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        context.setCheckpointDir(named)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """`df` written to the reliable checkpoint folder and read again."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

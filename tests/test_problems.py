@@ -1,3 +1,4 @@
+import math
 import random
 from datetime import datetime, timedelta
 
@@ -104,6 +105,51 @@ def test_different_statements_are_weighed(spark):
     assert got[2]["amount"] == pytest.approx(100)
 
 
+def amounts(spark, rows):
+    rows = [(*r, None) for r in rows]
+    return {r["entry_id"]: r for r in units.amounts(spark.createDataFrame(rows, ENTRIES), spark.createDataFrame(CATALOGUE, INDICATORS)).collect()}
+
+
+def test_refuted_identities_decide_nothing(spark):
+    """Where stated densities have nothing to do with population and area, they give no unit away."""
+    rng = random.Random(3)
+    rows = [(10 * k + n, f"{code}:T{k}:2020", "x", math.exp(rng.uniform(1, 9)), unit, None) for k in range(30) for n, (code, unit) in enumerate((("PO01", "hab"), ("AR01", "ha"), ("DE01", "hab/km2")))]
+    rows += [(1001, "PO01:U:2020", "x", 50_000.0, "hab", None), (1002, "AR01:U:2020", "x", 10_000.0, "ha", None), (1003, "DE01:U:2020", "x", 5.0, None, None)]
+    assert amounts(spark, rows)[1003]["amount"] is None
+    held = [(10 * k + n, f"{code}:T{k}:2020", "x", v, unit, None) for k in range(1, 31) for n, (code, unit, v) in enumerate((("PO01", "hab", 1000.0 * k), ("AR01", "ha", 500.0), ("DE01", "hab/km2", 200.0 * k)))]
+    assert amounts(spark, held + rows[-3:])[1003]["amount"] == pytest.approx(500)
+
+
+def test_what_does_not_change_in_time(spark):
+    rows = [(k, f"AR01:T:{2010 + k}", "Área", 4000.0, "ha", None) for k in range(5)] + [(9, "AR01:T:2019", "Área", 40.0, None, None), (10, "AR02:T:2019", "Bosque", 40.0, None, None)]
+    got = amounts(spark, rows)
+    assert got[9]["amount"] == pytest.approx(4000) and got[10]["amount"] is None
+
+
+def test_a_stated_amount_of_the_key_beats_its_median(spark):
+    """Sources contradict each other; a candidate that meets one of them exactly is taken, near ones are not told apart."""
+    rows = [(k, "AR01:T:2020", "Área", v, "ha", None) for k, v in enumerate((1000.0, 1010.0, 2000.0, 100_500.0, 101_000.0))] + [(10, "AR01:T:2020", "Área", 10.1, None, None), (11, "AR01:T:2020", "Área", 1000.0, None, None)]
+    got = amounts(spark, rows)
+    assert got[10]["amount"] == pytest.approx(1010) and got[10]["is_unique"]
+    assert got[11]["amount"] is None and not got[11]["is_unique"]  # as ha it meets 1000, as km² also 100 500
+
+
+def test_conflicting_statements_are_decided_by_residuals_before_pairs(spark):
+    """A unit column that contradicts the label: what agrees with the key decides, and the pair is found."""
+    rows = [(1, "AR01:T:2020", "Área", 100.0, "ha", None), (2, "AR01:T:2020", "Área (km²)", 1.0, "ha", None), (3, "AR01:T:2020", "Área (ha)", 1_000_000.0, "m2", None), (4, "AR01:U:2020", "Área (ha)", 1.0, "m2", None), (5, "AR01:U:2020", "Área", 1e4, "m2", None), (6, "DI01:T:2020", "Presupuesto (en miles)", 5.0, "millones COP", None), (7, "DI01:T:2020", "Presupuesto", 5e6, "COP", None)]
+    assert pairs(spark, rows) == {(1, 2), (1, 3), (4, 5), (6, 7)} | {(2, 3)}
+
+
+@pytest.mark.parametrize("dimension, value, context, factor", [
+    ("area", 120.0, "El valor fue 120" + " " * 100 + "km2 en total", 100.0), ("area", 120.0, "El valor de 120, según el censo y la revisión posterior del plan que hizo la oficina de planeación del municipio, (km²) es firme.", 100.0),
+    ("density", 83.0, "Fue de 83 para el conjunto de la zona urbana y la rural con corte a diciembre, expresada en hab/ha.", 100.0), ("area", 120.0, "El valor fue 120. Otra zona (km²) tiene 18 ha.", None), ("area", 120.0, "El valor fue 120 y la zona vecina 18 (km²).", None),
+    ("flow", 5.0, "(Valores expresados en " + " " * 60 + "metros cúbicos por segundo) El valor fue 5.", 1e3),
+])
+def test_contexts_are_read_to_the_end_of_the_clause(dimension, value, context, factor):
+    found = measures.context_statement(dimension, value, context)
+    assert (found and found[0]) == factor
+
+
 DAY = datetime(2024, 1, 1)
 
 
