@@ -122,6 +122,17 @@ def _by_spelling() -> dict[str, dict[str, tuple[float, float]]]:
 
 #: By dimension and spelling: (a, b) of amount = value * a + b.
 BY_SPELLING = _by_spelling()
+#: Dimensions whose units number words go with, and up to which.
+SCALED_BY = {"money": 1e12, "population": 1e6, "area": 1e6, "volume": 1e6, "mass": 1e6, "energy": 1e6, "length": 1e3}
+
+
+def all_units(dimension: str) -> list[tuple[float, float]]:
+    """Every (a, b) that a value of the dimension may have, number words included."""
+    own = set(BY_SPELLING[dimension].values())
+    words = [1.0, *(w for w in (1e3, 1e6, 1e9, 1e12) if w <= SCALED_BY.get(dimension, 1.0))]
+    return sorted({(a * w, b) for a, b in own for w in words if w == 1.0 or b == 0})
+
+
 _SCALED = re.compile(r"(mil millones|miles de millones|millones|millon|mill|miles|mil|billones|billon)(?: de)? (.+)")
 
 

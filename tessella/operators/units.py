@@ -23,6 +23,8 @@ CONSTANT = ("AR01", "LO02")
 CASES, SHARE, HOLDS_WITHIN = 20, 0.5, math.log(1.1)
 #: Unit choices whose log residuals differ by less than this are not told apart.
 UNIQUE_GAP = math.log(1.05)
+#: Without a stated amount that is met, what lies further than this from what is expected is not taken.
+NEAR = math.log(2)
 #: Two values are recorded differently if they differ by more than this share, and amounts agree within the other one.
 VALUES_DIFFER, AMOUNTS_AGREE = 0.02, 0.005
 #: Width of a band on the log scale: amounts that agree are at most one band apart.
@@ -36,7 +38,7 @@ def candidates(entries: DataFrame, indicators: DataFrame) -> DataFrame:
 
     The unit column, the end of the label and the context each may state a unit; a bare number word in the label, like
     `(en miles)`, multiplies a plain unit. Different statements all stay as candidates; where none is stated (`stated`
-    is false), every unit of the dimension stays. Entries without a known indicator have none.
+    is false), every unit and scale of the dimension stays. Entries without a known indicator have none.
 
     Nulls: a null value, key, label, unit or context states nothing and never fails. Repeated entries become one row.
     Text is read before the shuffle that joins repeated entries, which moves a few numbers a row.
@@ -48,7 +50,7 @@ def candidates(entries: DataFrame, indicators: DataFrame) -> DataFrame:
     dimension_of = {r[0]: r[1] for r in rows if r[0] is not None}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every = {d: sorted({*own.values()}) for d, own in measures.BY_SPELLING.items()}
+        every = {d: measures.all_units(d) for d in measures.BY_SPELLING}
         for batch in batches:
             codes, places, stated, found = [], [], [], []
             keys, values, labels, units, contexts = (batch.column(k).to_pylist() for k in range(1, 6))
@@ -114,8 +116,8 @@ def _resolved(read: DataFrame) -> DataFrame:
     picked = known.withColumn("ranked", F.expr(ranked.replace("element_at", "try_element_at")))
     first, second = F.get("ranked", F.lit(0)), F.get("ranked", F.lit(1))
     # Where one candidate meets a stated amount, others are far if they meet none, however near they are to the median.
-    apart = F.when(F.size("met") > 0, (F.size("met") == 1) | (second["residual"] - first["residual"] > AMOUNTS_AGREE)).otherwise(second["residual"] - first["residual"] > UNIQUE_GAP)
-    best = picked.withColumns({"factor": first["a"], "shift": first["b"], "residual": first["residual"], "is_unique": F.coalesce((F.size("ranked") == 1) | apart, F.lit(False))})
+    apart = F.when(F.size("met") > 0, (F.size("met") == 1) | (second["residual"] - first["residual"] > AMOUNTS_AGREE)).otherwise((first["residual"] <= NEAR) & ((F.size("ranked") == 1) | (second["residual"] - first["residual"] > UNIQUE_GAP)))
+    best = picked.withColumns({"factor": first["a"], "shift": first["b"], "residual": first["residual"], "is_unique": F.coalesce(apart, F.lit(False))})
     # A stated unit stands even where the choice between statements is open: the first statement, the unit column's.
     best = best.withColumns({c: F.coalesce(F.col(c), F.when(F.col("stated"), F.col("candidates")[0][k])) for c, k in (("factor", "a"), ("shift", "b"))})
     kept = ["entry_id", "measure_key", "value", "stated", "factor", "shift", "residual", "is_unique"]
