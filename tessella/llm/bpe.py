@@ -21,6 +21,9 @@ import regex
 #: Most pieces kept with their result in one worker. The memo is emptied when full; results do not depend on it.
 MEMO_PIECES = 200_000
 
+#: Characters from which on a text is split while it is encoded; results do not depend on it.
+LONG = 200_000
+
 
 def _byte_alphabet() -> dict[str, int]:
     """Characters by which a vocabulary in JSON writes bytes: printable ones as themselves, others moved up from 256."""
@@ -115,10 +118,14 @@ class Encoder:
 
     def __init__(self, table: MergeTable, pattern: str):
         self.table = table
-        self.pieces = regex.compile(pattern).findall
+        self._pattern = regex.compile(pattern)
         self.ids_of = _Memo(lambda piece: tuple(self.stream([piece.encode("utf-8", "surrogatepass")])))
         self.count_of = _Memo(self.count_piece)
 
+    def pieces(self, text: str) -> Iterable[str]:
+        """The pieces of a text, of a long one one at a time, so that its pieces are never held together."""
+        return self._pattern.findall(text) if len(text) < LONG else (m.group() for m in self._pattern.finditer(text))
+
     def encode(self, text: str | None) -> list[int]:
         """Ids of a text; none for an empty text and for null."""
         out: list[int] = []

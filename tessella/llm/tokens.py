@@ -57,6 +57,23 @@ def token_ids(df: DataFrame, key: str, text: str, vocab: tuple[bytes, str] | Non
     return spread(df.select(F.col(key).alias(key), F.col(text).alias("text"))).mapInArrow(encode, f"`{key}` {df.schema[key].dataType.simpleString()}, ids array<int>")
 
 
+def decoded(df: DataFrame, key: str, ids: str, vocab: tuple[bytes, str] | None = None) -> DataFrame:
+    """`key` and `text`, what token ids stand for, one row for each row of `df`; null and empty lists give an empty text.
+
+    The bytes of a token that ends within a character wait for the next one; what is no UTF-8 becomes the replacement
+    character. Ids outside the vocabulary are an error.
+    """
+    raw, pattern = vocab or vocabulary()
+    shared = df.sparkSession.sparkContext.broadcast(raw)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(shared.value, pattern)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((enc.decode(v.as_py() or ()) for v in batch.column(1)), pa.string())], [key, "text"])
+
+    return df.select(F.col(key).alias(key), F.col(ids).alias("ids")).mapInArrow(decode, f"`{key}` {df.schema[key].dataType.simpleString()}, text string")
+
+
 def _lists(keys: pa.Array, flat: array, offsets: array) -> pa.RecordBatch:
     ids = pa.ListArray.from_arrays(pa.array(np.frombuffer(offsets, dtype=np.int32)), pa.array(np.frombuffer(flat, dtype=np.int32) if flat else np.empty(0, np.int32)))
     return pa.RecordBatch.from_arrays([keys, ids], ["key", "ids"])
