@@ -78,6 +78,19 @@ def chunks(artifacts: DataFrame, budget: int = BUDGET, overlap: int = OVERLAP, t
     )
 
 
+def chunk_sizes(artifacts: DataFrame, budget: int = BUDGET, overlap: int = OVERLAP) -> DataFrame:
+    """The chunks of chunks() without their texts: document_id, section_no, chunk_no, n_artifact_tokens, token_count.
+
+    `artifacts` has n_chars in place of content, which is only needed of headings; no text is moved.
+    """
+    sized = with_sections(artifacts).select("document_id", "section_no", "pos", "n_chars", F.greatest(F.lit(1), F.floor(F.col("n_chars") / 4)).cast("int").alias("tokens"))
+    packed = pack(sized, budget, F.col("tokens")).groupBy("document_id", "section_no", "chunk_no").agg(F.sum("n_tokens").cast("int").alias("n_artifact_tokens"), (F.sum("n_chars") + 2 * (F.count("*") - 1)).alias("own"))
+    by_section = Window.partitionBy("document_id", "section_no").orderBy("chunk_no")
+    before = F.least(F.coalesce(F.lag("own").over(by_section), F.lit(0)), F.lit(4 * overlap))
+    full = F.col("own") + F.when(before > 0, before + 2).otherwise(0)
+    return packed.withColumn("token_count", F.greatest(F.lit(1), F.floor(full / 4)).cast("int")).drop("own")
+
+
 def chunk_stats(chunked: DataFrame, *by: str) -> DataFrame:
     """Number of chunks and their tokens: sum, whole mean, least and most; by any columns."""
     return chunked.groupBy(*by).agg(

@@ -37,51 +37,60 @@ def upsert(stored: DataFrame, new: DataFrame, key: str, version: str) -> DataFra
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", where=None) -> DataFrame:
     """The k nearest vectors of each query by squared Euclidean distance, ties by key: query_id, rank, key, distance.
 
-    `queries` has query_id and the vector. Queries are a stated set: they go out in blocks of BLOCK, whose size is
-    bounded, and every task keeps only k rows for each query of its part of `vectors`, so what is shuffled is
-    tasks x queries x k rows, not all pairs. Null vectors and those of another length are never near.
+    `queries` has query_id and the vector. Queries are a stated set: they go out in blocks of BLOCK, each of a bounded size
+    and loaded one at a time, all vectors are read once for all blocks, and every task keeps only k rows for each query of
+    its part of `vectors`, so what is shuffled is tasks x queries x k rows, not all pairs. Null vectors and those of another
+    length are never near.
     """
     pool = vectors.filter(where) if where is not None else vectors
     rows = queries.select("query_id", F.col(vector).alias("v")).filter("query_id is not null and v is not null")
-    width = rows.select(F.size("v").alias("n")).limit(1).collect()
-    if not width:
+    shared, width, part = [], None, []
+
+    def send() -> None:
+        shared.append(vectors.sparkSession.sparkContext.broadcast((np.array([r[0] for r in part]), np.array([r[1] for r in part], dtype=np.float64))))
+        part.clear()
+
+    for r in rows.toLocalIterator():
+        width = len(r[1]) if width is None else width
+        if len(r[1]) == width:
+            part.append(r)
+        if len(part) == BLOCK:
+            send()
+    if part:
+        send()
+    if not shared:
         return pool.select(F.lit(0).cast("long").alias("query_id"), F.lit(0).alias("rank"), F.col(key), F.lit(0.0).alias("distance")).limit(0)
-    n_blocks = max(1, -(-rows.count() // BLOCK))
-    numbered = rows.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)))
     kind = vectors.schema[key].dataType.simpleString()
-    best = None
-    for b in range(n_blocks):
-        part = numbered.filter(F.col("block") == b).toPandas()
-        shared = vectors.sparkSession.sparkContext.broadcast((part["query_id"].to_numpy(), np.array(part["v"].tolist(), dtype=np.float64).reshape(len(part), -1)))
-        found = pool.select(F.col(key), F.col(vector).alias("v")).filter(F.size("v") == width[0]["n"]).mapInPandas(_nearest_in(shared, k, key), f"query_id long, {key} {kind}, distance double")
-        best = found if best is None else best.unionByName(found)
+    best = pool.select(F.col(key), F.col(vector).alias("v")).filter(F.size("v") == width).mapInPandas(_nearest_in(shared, k, key), f"query_id long, {key} {kind}, distance double")
     order = Window.partitionBy("query_id").orderBy("distance", key)
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", key, "distance")
 
 
 def _nearest_in(shared, k: int, key: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, q = shared.value
-        if not len(ids):
-            return
-        top_d = top_i = None
+        top: list = [None] * len(shared)
         for batch in batches:
             for at in range(0, len(batch), 2048):
                 piece = batch.iloc[at : at + 2048]
                 v = np.array(piece["v"].tolist(), dtype=np.float64)
-                # Sums in the order of the dimensions, as SQL folds them, so that ties are ties.
-                d = np.zeros((len(ids), len(v)))
-                for j in range(v.shape[1]):
-                    diff = q[:, j, None] - v[None, :, j]
-                    d += diff * diff
                 names = piece[key].to_numpy()
-                names = np.broadcast_to(names.astype(str) if names.dtype == object else names, d.shape)
-                top_d, top_i = (d, names) if top_d is None else (np.concatenate([top_d, d], 1), np.concatenate([top_i, names], 1))
-                if top_d.shape[1] > k:
-                    order = np.lexsort((top_i, top_d), axis=1)[:, :k]
-                    top_d, top_i = np.take_along_axis(top_d, order, 1), np.take_along_axis(top_i, order, 1)
-        if top_d is not None:
-            yield pd.DataFrame({"query_id": np.repeat(ids, top_d.shape[1]), key: top_i.reshape(-1), "distance": top_d.reshape(-1)})
+                names = names.astype(str) if names.dtype == object else names
+                for b, block in enumerate(shared):
+                    _, q = block.value
+                    # Sums in the order of the dimensions, as SQL folds them, so that ties are ties.
+                    d = np.zeros((len(q), len(v)))
+                    for j in range(v.shape[1]):
+                        diff = q[:, j, None] - v[None, :, j]
+                        d += diff * diff
+                    own = np.broadcast_to(names, d.shape)
+                    top_d, top_i = (d, own) if top[b] is None else (np.concatenate([top[b][0], d], 1), np.concatenate([top[b][1], own], 1))
+                    if top_d.shape[1] > k:
+                        order = np.lexsort((top_i, top_d), axis=1)[:, :k]
+                        top_d, top_i = np.take_along_axis(top_d, order, 1), np.take_along_axis(top_i, order, 1)
+                    top[b] = top_d, top_i
+        for block, found in zip(shared, top):
+            if found is not None:
+                yield pd.DataFrame({"query_id": np.repeat(block.value[0], found[0].shape[1]), key: found[1].reshape(-1), "distance": found[0].reshape(-1)})
 
     return run
 

@@ -31,16 +31,20 @@ def _grams(text: Column, size: int) -> Column:
 def containing_pairs(outer: DataFrame, inner: DataFrame) -> DataFrame:
     """Pairs (a, b) of texts of `outer` (column a) and `inner` (column b) where a contains b. Empty texts pair with nothing.
 
-    No pair is tried that shares nothing: b is looked for by its rarest run of three characters (of one or two, if it is
-    shorter) among the runs of a, an equi-join that is exact at any size, and then tested.
+    No pair is tried that shares nothing: b is looked for by its rarest run of three characters among those of a, an
+    equi-join that is exact at any size, and then tested. Texts b under three characters are looked for by themselves among
+    the runs of their own length, and only where there are any.
     """
     a, b = outer.select("a").filter("a <> ''").distinct(), inner.select("b").filter("b <> ''").distinct()
-    runs = F.flatten(F.array(*(F.when(F.length("a") >= n, _grams(F.col("a"), n)).otherwise(F.array().cast("array<string>")) for n in (1, 2, 3))))
-    wide = a.select("a", F.explode(runs).alias("gram"))
-    often = wide.filter("length(gram) = 3").groupBy("gram").agg(F.count("*").alias("n"))
-    own = b.select("b", F.explode(F.when(F.length("b") < 3, F.array("b")).otherwise(_grams(F.col("b"), 3))).alias("gram"))
-    rarest = own.join(often, "gram", "left").groupBy("b").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), F.col("gram"))).alias("gram"))
-    return wide.join(rarest, "gram").filter(F.contains(F.col("a"), F.col("b"))).select("a", "b")
+    wide = a.filter("length(a) >= 3").select("a", F.explode(_grams(F.col("a"), 3)).alias("gram"))
+    often = wide.groupBy("gram").agg(F.count("*").alias("n"))
+    own = b.filter("length(b) >= 3").select("b", F.explode(_grams(F.col("b"), 3)).alias("gram"))
+    # A run of b that no a has makes b part of none, so only runs that are there count, and all of them must be.
+    rarest = own.join(often, "gram", "left").groupBy("b").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), F.col("gram"))).alias("gram"), F.min(F.coalesce("n", F.lit(0))).alias("least")).filter("least > 0")
+    long = wide.join(rarest, "gram").filter(F.contains(F.col("a"), F.col("b"))).select("a", "b")
+    short = b.filter("length(b) < 3")
+    runs = F.flatten(F.array(*(F.when(F.length("a") >= n, _grams(F.col("a"), n)).otherwise(F.array().cast("array<string>")) for n in (1, 2))))
+    return long.unionByName(a.select("a", F.explode(runs).alias("b")).join(short, "b").select("a", "b"))
 
 
 def contains_match(targets: DataFrame, groups: DataFrame) -> DataFrame:

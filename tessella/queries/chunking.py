@@ -68,7 +68,7 @@ def overlap_prefix(spark: SparkSession, d: str) -> DataFrame:
 
 
 def chunk_stats(spark: SparkSession, d: str) -> DataFrame:
-    return chunking.chunk_stats(_chunked(spark, d), "document_id").select("document_id", "n_chunks", "sum_tokens", "avg_tokens", "min_tokens", "max_tokens")
+    return chunking.chunk_stats(chunking.chunk_sizes(V.artifact_sizes(spark, d), BUDGET, OVERLAP), "document_id").select("document_id", "n_chunks", "sum_tokens", "avg_tokens", "min_tokens", "max_tokens")
 
 
 def heading_path(spark: SparkSession, d: str) -> DataFrame:
@@ -118,7 +118,9 @@ def slug(spark: SparkSession, d: str) -> DataFrame:
 
 
 def heading_level(spark: SparkSession, d: str) -> DataFrame:
-    style = F.when(F.col("is_heading"), F.concat_ws(" ", F.lit("Heading"), F.col("heading_level").cast("string"))).otherwise("Normal")
+    """Levels read back from styles that are spelled in several ways; a style may lack its number or have more words."""
+    begin = F.get(F.array(*(F.lit(x) for x in T.HEADING_STYLES)), F.length("artifact_id") % len(T.HEADING_STYLES))
+    style = F.when(F.col("is_heading"), F.concat_ws(" ", begin, F.when(F.col("pos") % 2 == 0, "Char"), F.col("heading_level").cast("string"), F.lit("x 9"))).otherwise(F.concat(F.lit("Normal "), F.col("pos").cast("string")))
     return V.artifacts(spark, d).select("artifact_id", T.is_heading_style(style).alias("is_heading"), T.heading_level(style).alias("level"))
 
 
@@ -128,8 +130,10 @@ def table_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def json_salvage(spark: SparkSession, d: str) -> DataFrame:
-    answer = F.concat(F.lit("Answer: "), "props", F.lit(" (end)"))
-    found = T.json_between_braces(answer)
+    """Answers with text around nested JSON; every fourth is cut off before its last brace and has none."""
+    nested = F.concat(F.lit('Answer: {"a": '), "props", F.when(F.col("event_id") % 4 == 0, "").otherwise("}"), F.lit(" (end)"))
+    whole = T.json_between_braces(nested)
+    found = F.get_json_object(whole, "$.a")
     return table(spark, d, "events").select("event_id", found.alias("json"), F.get_json_object(found, "$.k").cast("int").alias("k"))
 
 
@@ -179,10 +183,10 @@ w AS (SELECT digits, CASE WHEN contains(digits, ',') AND contains(digits, '.') A
 SELECT digits, coalesce(try_cast(digits AS DOUBLE), try_cast(written AS DOUBLE)) AS plain,
   try_cast(CASE WHEN regexp_matches(digits, '^[0-9]{{1,3}}(\\.[0-9]{{3}})+(,[0-9]+)?$') THEN replace(replace(digits, '.', ''), ',', '.') ELSE written END AS DOUBLE) AS local FROM w""",
     "slug": f"WITH {V.SECTIONS} SELECT section_id, coalesce(nullif(substring(regexp_replace({_RAW}, '[\\s_]+', '_', 'g'), 1, 80), ''), 'section') AS slug FROM se",
-    "heading_level": f"WITH {V.ARTIFACTS} SELECT artifact_id, is_heading, CASE WHEN is_heading THEN coalesce(heading_level, 1) ELSE 1 END AS level FROM art",
+    "heading_level": f"WITH {V.ARTIFACTS} SELECT artifact_id, is_heading, CASE WHEN is_heading THEN coalesce(heading_level, 9) ELSE pos END AS level FROM art",
     "table_text": f"""WITH {V.ARTIFACTS}, h AS (SELECT artifact_id, table_data, list_sort(map_keys(table_data[1])) AS head FROM art WHERE len(table_data) > 0)
 SELECT artifact_id, array_to_string(list_concat([array_to_string(head, ' | '), array_to_string(list_transform(head, lambda x: repeat('-', length(x))), ' | ')],
   list_transform(table_data, lambda r: array_to_string(list_transform(head, lambda x: coalesce(r[x], '')), ' | '))), chr(10)) AS text FROM h""",
-    "json_salvage": "SELECT event_id, props AS json, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events",
+    "json_salvage": "SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN replace(props, ' ', '') END AS json, CASE WHEN event_id % 4 <> 0 THEN CAST(json_extract_string(props, '$.k') AS INT) END AS k FROM events",
     "excerpts": "SELECT DISTINCT record_id, substring(original_excerpt, 1, 60) AS excerpt FROM provenance_records",
 }

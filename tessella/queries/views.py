@@ -19,6 +19,14 @@ def artifacts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def artifact_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """artifacts() with n_chars in place of content, which only headings keep; texts do not reach the shuffle."""
+    meta = lambda k: F.try_element_at("metadata", F.lit(k))
+    heading = F.coalesce(meta("is_heading") == "true", F.lit(False))
+    rows = table(spark, d, "artifacts").select("artifact_id", "delivered_at", "document_id", "pos", heading.alias("is_heading"), meta("heading_level").try_cast("int").alias("heading_level"), F.when(heading, F.coalesce("content", F.lit(""))).alias("content"), F.length(F.coalesce("content", F.lit(""))).alias("n_chars"))
+    return latest(rows, "artifact_id", "delivered_at")
+
+
 def chunks(spark: SparkSession, d: str) -> DataFrame:
     return latest(table(spark, d, "chunks"), "chunk_id", "created_at")
 

@@ -9,10 +9,10 @@ os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tessella.session import session
 
-    s = session("local[4]", "tests", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="3g")
+    s = session("local[4]", "tests", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="3g", spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

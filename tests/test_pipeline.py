@@ -83,3 +83,18 @@ def test_answers(spark):
     except Exception as x:  # noqa: BLE001
         assert "too low" in str(x)
     assert one(spark.createDataFrame([("x" * 40,)], "t string").select(answers.fits(F.col("t"), F.lit(20), F.lit(10)).alias("f")))["f"] is True
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tessella.__main__ import main
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("# Uno\nPrimera frase. Segunda frase.\n# Dos\nOtra frase.")
+    root = str(tmp_path / "run")
+    assert main(["run", str(tmp_path / "in"), root, "--kind", "txt", "--until", "drafts", "--budget", "50", "--overlap", "5"]) == 0
+    assert main(["status", root]) == 0
+    out = capsys.readouterr().out.split("\n")
+    assert out[0] == "artifacts 4" and out[1] == "chunks 2" and out[4] == "reviews -"
+    assert main(["export", root, str(tmp_path / "x.tar.gz")]) == 0 and main(["import", str(tmp_path / "x.tar.gz"), str(tmp_path / "again")]) == 0
+    assert main(["status", str(tmp_path / "again")]) == 0 and "chunks 2" in capsys.readouterr().out
+    assert main(["clean", str(tmp_path / "again"), "--force"]) == 0 and main(["query", "no such", root]) == 2

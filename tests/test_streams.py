@@ -17,7 +17,7 @@ def test_streak_over_batches(spark, tmp_path):
     folder, schema = str(tmp_path / "in"), "k string, t int, kind string"
     put(spark, folder, [("a", 2, "fail"), ("a", 1, "fail"), ("b", 1, "ok")], schema)
     put(spark, folder, [("a", 3, "other"), ("a", 4, "fail"), ("a", 5, "ok"), ("b", 2, "fail")], schema)
-    out = W.run_to_memory(W.streak_state(stream(spark, folder, schema, 9), "k", "kind", "t", "fail", "ok"), "streaks", "update")
+    out = W.run_to_folder(W.streak_state(stream(spark, folder, schema, 9), "k", "kind", "t", "fail", "ok"), "update")
     assert sorted(map(tuple, out.collect())) == [("a", 0, 3), ("b", 1, 1)]
 
 
@@ -53,7 +53,7 @@ def test_windows_are_the_same_on_tables(spark, data):
     events = spark.read.parquet(f"{data}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     source = W.event_stream(spark, data, "events.parquet", spark.read.parquet(f"{data}/events.parquet").schema)
     for n, make in enumerate((lambda df: W.tumbling(df, "1 day", ["event_type"]), lambda df: W.sessions(df, "3 hours", ["user_id"]))):
-        got = W.run_to_memory(make(source), f"w{n}", "complete").drop("total")
+        got = W.run_to_folder(make(source), "complete").drop("total")
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, make(events).drop("total").collect()))
 
 
@@ -64,6 +64,6 @@ def test_late_rows_are_dropped(spark, tmp_path):
         df = spark.createDataFrame([(h, "e", 1.0) for h in hours], "h int, event_type string, value double").select(F.timestamp_seconds(F.col("h") * 3600).alias("ts"), "event_type", "value")
         df.coalesce(1).write.parquet(f"{folder}/part={n}")
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).option("latestFirst", False).parquet(folder)
-    out = W.run_to_memory(W.tumbling(src, "1 hour", ["event_type"], late="5 hours"), "late", "append")
+    out = W.run_to_folder(W.tumbling(src, "1 hour", ["event_type"], late="5 hours"), "append")
     got = {r["begin"].hour + 24 * (r["begin"].day - 1): r["n"] for r in out.collect()}
     assert got.get(1) == 2 and 2 not in got
