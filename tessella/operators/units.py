@@ -109,7 +109,9 @@ def _resolved(read: DataFrame) -> DataFrame:
     one = read.filter(F.size("candidates") == 1).withColumns({"factor": F.col("candidates")[0]["a"], "shift": F.col("candidates")[0]["b"], "residual": F.lit(0.0), "is_unique": F.lit(True)})
     open_choice = read.filter(F.size("candidates") != 1)
     stated = read.filter((F.size("candidates") == 1) & F.col("stated"))
-    known = open_choice.join(_expected(stated), "measure_key", "left").join(_met(open_choice, stated), "entry_id", "left")
+    # Of the stated entries only those of keys with an open choice count, and what identities hold between.
+    asked = stated.join(open_choice.select("measure_key").distinct(), "measure_key", "left_semi")
+    known = open_choice.join(_expected(asked, stated), "measure_key", "left").join(_met(open_choice, asked), "entry_id", "left")
     known = known.withColumn("territory", _territory()).join(_constants(stated), "territory", "left").withColumn("expected", F.coalesce("expected", "constant"))
     ranked = """array_sort(transform(filter(candidates, c -> value * c.a + c.b > 0 and (expected is not null or met is not null)),
                 c -> named_struct('residual', coalesce(element_at(met, named_struct('a', c.a, 'b', c.b)), abs(ln(value * c.a + c.b) - expected), 1000d), 'a', c.a, 'b', c.b)))"""
@@ -147,16 +149,18 @@ def _met(open_choice: DataFrame, stated: DataFrame) -> DataFrame:
     return near.groupBy("entry_id", "c").agg(F.min("gap").alias("gap")).groupBy("entry_id").agg(F.map_from_entries(F.collect_list(F.struct("c", "gap"))).alias("met"))
 
 
-def _expected(stated: DataFrame) -> DataFrame:
-    """For each measure_key the log of the amount that it should have: the median of its stated entries, else an identity.
+def _expected(asked: DataFrame, stated: DataFrame) -> DataFrame:
+    """For each measure_key of `asked` the log of the amount that it should have: the median of its stated entries, else what
+    an identity makes of other keys of `stated`.
 
     The median is a sketch that is merged map-side, so a key of any number of entries is one small row before the shuffle.
     An identity that the medians of the stated entries refute does not count.
     """
-    own, found = _medians(stated), []
+    own, found = _medians(asked), []
+    bound = _medians(stated.filter(F.col("indicator").isin(*{k for identity in IDENTITIES for k in identity})))
     for identity in IDENTITIES:
         powers = {k: v for k, v in identity.items() if k != "constant"}
-        wide = own.filter(F.col("indicator").isin(*powers)).groupBy("place").agg(*(F.max(F.when(F.col("indicator") == k, F.col("own"))).alias(k) for k in powers))
+        wide = bound.filter(F.col("indicator").isin(*powers)).groupBy("place").agg(*(F.max(F.when(F.col("indicator") == k, F.col("own"))).alias(k) for k in powers))
         rest = lambda but: sum((F.col(j) * p for j, p in powers.items() if j != but), F.lit(math.log(identity["constant"])))  # noqa: B023, E731
         holds = _holds(wide.select(rest(None).alias("residual")))
         found += [wide.select(F.concat(F.lit(f"{k}:"), "place").alias("measure_key"), (-rest(k) / p).alias("implied")).crossJoin(holds) for k, p in powers.items()]
