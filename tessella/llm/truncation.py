@@ -51,6 +51,7 @@ _UPPER = "A-ZÁÉÍÓÚÑÜÂÊÔÃÕÇÀÖÄ"
 _NAME = re.compile(rf" (?<=[\w,;:%)»”] )[{_UPPER}]\w*(?: (?:de la |de los |del |de |da |do )?[{_UPPER}]\w*)*")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|\n|[^\w\s]")
 _WORD = re.compile(r"[^\W\d_]+")
+_LAST_WORD = re.compile(r"[^\W\d_]+$")
 _STOPS = {".", "!", "?", "…", "\n"}
 _END = "\n"
 #: Stands after a text whose open last form was taken off; neither a stop nor a form that any text has.
@@ -153,17 +154,17 @@ def read_end(tail: str, line: str = "") -> tuple[str, str | None, list[str], str
     Places: `row` (of a list or table), `name` (the last word is part of one), `text`.
     """
     state, tail, is_part = "open", tail.rstrip(), tail.count(" ") >= WORDS - 1
-    last = tail[-1:]
+    last, token = tail[-1:], tail.rsplit(None, 1)[-1] if tail else ""
     if (last in "])>�" and _MARK.search(tail)) or (last in "-‐‑" and _HYPHEN.search(tail[-2:])):
         return "mark", None, [], "text"
     if last in ".…" and (m := _DOTS.search(tail)):
         state, tail = "dots", tail[: m.start()].rstrip()
     elif last == "." and _SHORT_STOP.search(tail[-4:]):
         state, tail = "stop", tail[:-1]
-    elif last not in _OPEN and _CLOSED.search(tail):
+    elif last not in _OPEN and _CLOSED.search(token) and (_WORD.search(token) or _CLOSED.search(tail)):
         return "closed", None, [], "text"
     tokens = forms(tail[tail.find(" ") + 1 :] if is_part else tail)[-ORDERS[-1] :]
-    last = re.search(r"[^\W\d_]+$", tail)
+    last = _LAST_WORD.search(tail.rsplit(None, 1)[-1]) if tail else None
     line = tail[tail.rfind("\n") + 1 :].lstrip() if "\n" in tail else line.lstrip()
     place = "row" if _ROW.match(line) else "name" if tokens and tokens[-1] == "N" else "text"
     return state, last.group().lower() if last else None, tokens, place
