@@ -100,7 +100,7 @@ def test_pdf_headings_by_size_and_weight(monkeypatch):
             return [types.SimpleNamespace(extract=lambda: [["a", "b"], ["1", None]]), types.SimpleNamespace(extract=lambda: [["a"]])]
 
         def get_images(self, full):
-            return [(1,), (2,)]
+            return [(0,), (1,)]
 
     class Document(list):
         def __enter__(self):
